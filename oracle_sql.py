@@ -284,4 +284,65 @@ def queries_sql() -> dict[str, str]:
         f"{r2('item_visibility')} AS item_visibility, {r2('item_weight')} AS item_weight, "
         f"{r2('total_sales')} AS total_sales, {r2('rating')} AS rating, ingest_ts, record_id "
         "FROM silver ORDER BY record_id LIMIT 50")
+
+    # ---- sources and sinks ----
+    raw_out = f"SELECT {RAW_COLS}, record_id FROM raw"
+    q["csv_bronze_roundtrip"] = with_ctes(raw_out, silver=False)
+    q["json_decode"] = with_ctes(raw_out, silver=False)
+    q["publish_messages"] = with_ctes(
+        f"SELECT coalesce(\"Item Identifier\", 'unknown') AS key, {RAW_COLS}, record_id FROM raw", silver=False)
+    q["ingest_stamp"] = "SELECT CAST(1 AS BIGINT) AS distinct_stamps, CAST(0 AS BIGINT) AS null_stamps"
+    q["scan_silver"] = with_ctes(f"SELECT {SILVER_COLS}, ingest_ts, record_id FROM silver")
+    q["page_rows"] = with_ctes(f"{raw_out} ORDER BY record_id LIMIT 1000 OFFSET 1000", silver=False)
+    q["page_keyset"] = with_ctes(
+        f"{raw_out} WHERE record_id > '5000' ORDER BY record_id LIMIT 1000", silver=False)
+    q["item_lookup"] = with_ctes(
+        f"SELECT {RAW_COLS}, record_id, count(*) OVER () AS match_count FROM raw "
+        "WHERE \"Item Identifier\" = 'P42'", silver=False)
+    counts = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {src}"
+        for t, src in (("silver", "gold"), ("dim_item", "dim_item"), ("dim_outlet", "dim_outlet"),
+                       ("dim_date", "dim_date"), ("fact_sales", "fact")))
+    q["gold_table_counts"] = with_ctes(counts, dims=True)
+    q["warehouse_load"] = with_ctes(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {src}"
+        for t, src in (("dim_item", "dim_item"), ("dim_outlet", "dim_outlet"),
+                       ("dim_date", "dim_date"), ("fact_sales", "fact"))), dims=True)
+    q["check_pk"] = with_ctes(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, count(DISTINCT {k}) AS distinct_keys, "
+        f"(SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)) AS duplicate_keys, "
+        f"count(*) FILTER (WHERE {k} IS NULL) AS null_keys FROM {t}"
+        for t, k in (("dim_item", "item_key"), ("dim_outlet", "outlet_key"), ("dim_date", "date_key"))),
+        dims=True)
+    nn = {
+        "dim_item": ("item_key", "item_identifier", "item_type", "item_fat_content"),
+        "dim_outlet": ("outlet_key", "outlet_identifier", "outlet_location_type", "outlet_size",
+                       "outlet_type", "outlet_establishment_year"),
+        "dim_date": ("date_key", "event_date"),
+        "fact": ("item_key", "outlet_key", "date_key"),
+    }
+    q["check_not_null"] = with_ctes(" UNION ALL ".join(
+        f"SELECT '{'fact_sales' if t == 'fact' else t}' AS table_name, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM {t}"
+        for t, cols in nn.items() for c in cols), dims=True)
+    q["check_fk"] = with_ctes(" UNION ALL ".join(
+        f"SELECT '{k}' AS foreign_key, '{d}' AS \"references\", "
+        f"count(*) FILTER (WHERE {k} IS NULL OR {k} NOT IN (SELECT {k} FROM {d} WHERE {k} IS NOT NULL)) "
+        f"AS orphan_rows FROM fact"
+        for k, d in (("item_key", "dim_item"), ("outlet_key", "dim_outlet"), ("date_key", "dim_date"))),
+        dims=True)
+    q["fact_serial_unique"] = with_ctes("SELECT count(*) AS rows, count(*) AS distinct_ids FROM fact", dims=True)
+    q["fact_null_keys"] = with_ctes(
+        "SELECT count(*) FILTER (WHERE outlet_establishment_year = 1990) AS join_null_keys, "
+        "CAST(0 AS BIGINT) AS inline_null_keys, CAST(0 AS BIGINT) AS inline_unresolved FROM silver")
+    q["sales_distribution_constant"] = with_ctes(
+        ", const_src AS (SELECT * FROM silver WHERE rating = 1.5)"
+        + histogram_sql("const_src", column="rating"))
+    q["sales_distribution_empty"] = with_ctes(
+        ", empty_src AS (SELECT * FROM silver WHERE total_sales > (SELECT max(total_sales) FROM silver))"
+        + histogram_sql("empty_src"))
+    q["append_missing_columns"] = with_ctes(
+        "SELECT record_id, outlet_size, total_sales, "
+        "CASE WHEN outlet_size = 'Small' THEN CAST(ingest_ts AS DATE) END AS event_date "
+        "FROM silver WHERE outlet_size IS NOT NULL")
     return q

@@ -191,6 +191,198 @@ def q_sample_rows(spark, sf):
     return dash.sample_rows(layers.silver(spark, sf).select(*SILVER_OUT), limit=50)
 
 
+# --------------------------------------------------------------------------
+# Sources and sinks
+# --------------------------------------------------------------------------
+
+RAW_OUT = ("Item Fat Content", "Item Identifier", "Item Type", "Outlet Establishment Year",
+           "Outlet Identifier", "Outlet Location Type", "Outlet Size", "Outlet Type",
+           "Item Visibility", "Item Weight", "Total Sales", "Rating")
+
+
+def _raw_cols():
+    return [F.col(f"`{c}`") for c in RAW_OUT]
+
+
+def q_csv_bronze_roundtrip(spark, sf):
+    """Raw rows → CSV (header) → read back with the declared schema."""
+    from pyspark.sql import types as T
+
+    from shelfwise.schemas import RAW_SCHEMA
+    from shelfwise.session import scratch_path
+    from shelfwise.sources.files import read_csv
+
+    path = scratch_path(spark, "csv-roundtrip")
+    raw = layers.bronze(spark, sf).select(*_raw_cols(), "record_id")
+    (raw.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("record_id", T.StringType())])
+    return read_csv(spark, path, schema=schema, stamp=False)
+
+
+def q_json_decode(spark, sf):
+    """Encode each raw row as a keyed JSON message and decode it back."""
+    from shelfwise.sources import messages
+
+    raw = layers.bronze(spark, sf)
+    decoded = messages.decode(messages.encode(raw, extra=("record_id",)))
+    return decoded.select(*_raw_cols(), "record_id")
+
+
+def q_publish_messages(spark, sf):
+    """Publish messages to the file transport, read back, decode."""
+    from shelfwise.session import scratch_path
+    from shelfwise.sources import messages
+
+    path = scratch_path(spark, "messages")
+    messages.publish(messages.encode(layers.bronze(spark, sf), extra=("record_id",)), path)
+    back = messages.read_message_files(spark, path)
+    decoded = back.select("key", F.from_json("value", messages.MESSAGE_SCHEMA).alias("d"))
+    return decoded.select("key", *[F.col(f"d.`{c}`").alias(c) for c in RAW_OUT], "d.record_id")
+
+
+def q_ingest_stamp(spark, sf):
+    """Processing-time stamp: one value for the whole batch, never null."""
+    from shelfwise.sources.files import stamp_ingest
+
+    stamped = stamp_ingest(layers.bronze(spark, sf).drop("ingest_ts"))
+    return stamped.agg(F.count_distinct("ingest_ts").alias("distinct_stamps"),
+                       F.count(F.when(F.col("ingest_ts").isNull(), 1)).alias("null_stamps"))
+
+
+def q_scan_silver(spark, sf):
+    """Silver written as Parquet and scanned back."""
+    from shelfwise.session import scratch_path
+
+    path = scratch_path(spark, "silver")
+    layers.silver(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).select(*SILVER_OUT)
+
+
+def q_page_rows(spark, sf):
+    from shelfwise.sources.files import page
+
+    return page(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"), offset=1000, limit=1000)
+
+
+def q_page_keyset(spark, sf):
+    from shelfwise.sources.files import page_after
+
+    return page_after(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"),
+                      last_key="5000", limit=1000)
+
+
+def q_item_lookup(spark, sf):
+    from shelfwise.sources.files import lookup
+
+    return lookup(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"), "P42")
+
+
+def q_gold_table_counts(spark, sf):
+    """Whole batch job to Parquet (exact median), then rows per gold table."""
+    from functools import reduce
+
+    from shelfwise.plans.batch import gold_tables, run_batch
+    from shelfwise.session import scratch_path
+
+    res = run_batch(spark, layers.bronze(spark, sf), scratch_path(spark, "batch"), median_mode="exact")
+    tables = gold_tables(spark, res)
+    parts = [t.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+             for name, t in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _gold(spark, sf):
+    return star.build_gold_layers(layers.silver(spark, sf))
+
+
+def q_warehouse_load(spark, sf):
+    """Load the star schema twice (truncate + load); counts must not double."""
+    from functools import reduce
+
+    from shelfwise.session import scratch_path
+    from shelfwise.sinks.warehouse import LOAD_ORDER, TableWarehouse, load_warehouse
+
+    wh = TableWarehouse(scratch_path(spark, "warehouse"))
+    gold = _gold(spark, sf)
+    load_warehouse(gold, wh)
+    load_warehouse(gold, wh)
+    parts = [wh.read(spark, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+             for t in LOAD_ORDER]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_check_pk(spark, sf):
+    from shelfwise.operators.constraints import check_primary_keys
+
+    return check_primary_keys(_gold(spark, sf))
+
+
+def q_check_not_null(spark, sf):
+    from shelfwise.operators.constraints import check_not_null
+
+    return check_not_null(_gold(spark, sf))
+
+
+def q_check_fk(spark, sf):
+    from shelfwise.operators.constraints import check_foreign_keys
+
+    return check_foreign_keys(_gold(spark, sf))
+
+
+def q_fact_serial_unique(spark, sf):
+    from shelfwise.operators.constraints import with_serial_id
+
+    fact = with_serial_id(_gold(spark, sf)["fact_sales"])
+    return fact.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("sales_id").alias("distinct_ids"))
+
+
+# Rows of one establishment year lose their outlet size (null natural key).
+NULL_SIZE_YEAR = 1990
+
+
+def q_fact_null_keys(spark, sf):
+    """Null natural key: join mode leaves a null fact key, inline resolves."""
+    from shelfwise.operators.clean import with_event_date
+
+    s = layers.silver(spark, sf)
+    s = s.withColumn("outlet_size", F.when(F.col("outlet_establishment_year") == NULL_SIZE_YEAR,
+                                           F.lit(None).cast("string")).otherwise(F.col("outlet_size")))
+    g = with_event_date(s)
+    dim = star.dim_outlet(g)
+    joined = star.fact_sales(g, mode="join")
+    inline = star.fact_sales(g, mode="inline")
+    unresolved = inline.select("outlet_key").join(dim.select("outlet_key"), "outlet_key", "left_anti")
+    inline_nulls = inline.agg(F.count(F.when(F.col("outlet_key").isNull(), 1))).scalar()
+    unresolved_rows = unresolved.agg(F.count(F.lit(1))).scalar()
+    return joined.agg(
+        F.count(F.when(F.col("outlet_key").isNull(), 1)).alias("join_null_keys"),
+        inline_nulls.alias("inline_null_keys"),
+        unresolved_rows.alias("inline_unresolved"),
+    )
+
+
+def q_sales_distribution_constant(spark, sf):
+    """Degenerate histogram: a constant measure (rating of the 1.5 rows)."""
+    rows = layers.silver(spark, sf).where(F.col("rating") == 1.5)
+    return dash.histogram(rows, column="rating")
+
+
+def q_sales_distribution_empty(spark, sf):
+    s = layers.silver(spark, sf)
+    return dash.histogram(s.where(F.col("total_sales") > s.agg(F.max("total_sales")).scalar()))
+
+
+def q_append_missing_columns(spark, sf):
+    """Union by name where one side lacks a column (filled with null)."""
+    from shelfwise.operators.clean import with_event_date
+
+    s = layers.silver(spark, sf).select("record_id", "outlet_size", "total_sales", "ingest_ts")
+    with_date = with_event_date(s.where(F.col("outlet_size") == "Small")).drop("ingest_ts")
+    without = s.where(F.col("outlet_size") != "Small").drop("ingest_ts")
+    return with_date.unionByName(without, allowMissingColumns=True)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name, *_ in dash.CHARTS:
@@ -224,5 +416,23 @@ def registry() -> dict[str, Query]:
         "filter_sales_range": q_filter_sales_range,
         "filter_all_options": q_filter_all_options,
         "sample_rows": q_sample_rows,
+        "csv_bronze_roundtrip": q_csv_bronze_roundtrip,
+        "json_decode": q_json_decode,
+        "publish_messages": q_publish_messages,
+        "ingest_stamp": q_ingest_stamp,
+        "scan_silver": q_scan_silver,
+        "page_rows": q_page_rows,
+        "page_keyset": q_page_keyset,
+        "item_lookup": q_item_lookup,
+        "gold_table_counts": q_gold_table_counts,
+        "warehouse_load": q_warehouse_load,
+        "check_pk": q_check_pk,
+        "check_not_null": q_check_not_null,
+        "check_fk": q_check_fk,
+        "fact_serial_unique": q_fact_serial_unique,
+        "fact_null_keys": q_fact_null_keys,
+        "sales_distribution_constant": q_sales_distribution_constant,
+        "sales_distribution_empty": q_sales_distribution_empty,
+        "append_missing_columns": q_append_missing_columns,
     })
     return q
