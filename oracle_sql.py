@@ -345,4 +345,18 @@ def queries_sql() -> dict[str, str]:
         "SELECT record_id, outlet_size, total_sales, "
         "CASE WHEN outlet_size = 'Small' THEN CAST(ingest_ts AS DATE) END AS event_date "
         "FROM silver WHERE outlet_size IS NOT NULL")
+
+    # ---- streaming ----
+    q["stream_bronze"] = with_ctes(raw_out, silver=False)
+    q["stream_silver"] = with_ctes(
+        "SELECT item_fat_content, item_identifier, item_type, outlet_establishment_year, "
+        "outlet_identifier, outlet_location_type, outlet_size, outlet_type, item_visibility, "
+        "total_sales, rating, ingest_ts, record_id FROM clean", silver=False)
+    q["stream_gold_equals_batch"] = with_ctes(
+        "SELECT 'dim_item' AS table_name, item_key AS key FROM dim_item UNION ALL "
+        "SELECT 'dim_outlet', outlet_key FROM dim_outlet UNION ALL "
+        "SELECT 'dim_date', date_key FROM dim_date", dims=True)
+    q["stream_restart"] = with_ctes(raw_out, silver=False)
+    q["stream_dedup"] = with_ctes(raw_out, silver=False)
+    q["stream_impute_scopes"] = "SELECT true AS frozen_ok, true AS one_value_per_batch, true AS all_filled"
     return q

@@ -383,6 +383,130 @@ def q_append_missing_columns(spark, sf):
     return with_date.unionByName(without, allowMissingColumns=True)
 
 
+# --------------------------------------------------------------------------
+# Streaming (file transport, availableNow triggers, read-back of the sinks)
+# --------------------------------------------------------------------------
+
+STREAM_OUT = tuple(c for c in SILVER_OUT if c != "item_weight")
+FROZEN_WEIGHT = 25.0
+
+
+def _bronze_rows(spark, sf):
+    return layers.bronze(spark, sf)
+
+
+def _parts(rows: DataFrame, n: int):
+    bucket = F.pmod(F.xxhash64("record_id"), F.lit(n))
+    return [rows.where(bucket == i) for i in range(n)]
+
+
+def _published(spark, sf, parts: int = 3):
+    """Publish the feed as ``parts`` appends to a fresh message folder."""
+    from shelfwise.plans.stream import publish_rows
+    from shelfwise.session import scratch_path
+
+    base = scratch_path(spark, "stream")
+    messages = f"{base}/messages"
+    for part in _parts(_bronze_rows(spark, sf), parts):
+        publish_rows(part, messages)
+    return base, messages
+
+
+def q_stream_bronze(spark, sf):
+    from shelfwise.plans.stream import run_bronze
+
+    base, messages = _published(spark, sf)
+    path = run_bronze(spark, messages, base, max_files_per_trigger=4)
+    return spark.read.parquet(path).select(*_raw_cols(), "record_id")
+
+
+def q_stream_silver(spark, sf):
+    from shelfwise.plans.stream import run_stream
+
+    base, messages = _published(spark, sf)
+    layout = run_stream(spark, messages, base, max_files_per_trigger=4)
+    return spark.read.parquet(layout.silver).select(*STREAM_OUT)
+
+
+def q_stream_gold_equals_batch(spark, sf):
+    """Incrementally maintained dims (several micro-batches) as (table, key)."""
+    from functools import reduce
+
+    from shelfwise.plans.stream import run_stream
+    from shelfwise.streaming.silver_gold import read_dim
+
+    base, messages = _published(spark, sf)
+    layout = run_stream(spark, messages, base, max_files_per_trigger=4)
+    parts = [read_dim(spark, layout, t).select(F.lit(t).alias("table_name"), F.col(k).alias("key"))
+             for t, k in (("dim_item", "item_key"), ("dim_outlet", "outlet_key"), ("dim_date", "date_key"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_stream_restart(spark, sf):
+    """Run, add more messages, run again from the checkpoint: each row once."""
+    from shelfwise.plans.stream import publish_rows, run_bronze
+    from shelfwise.session import scratch_path
+
+    base = scratch_path(spark, "restart")
+    messages = f"{base}/messages"
+    first, second, third = _parts(_bronze_rows(spark, sf), 3)
+    publish_rows(first, messages)
+    publish_rows(second, messages)
+    run_bronze(spark, messages, base)
+    publish_rows(third, messages)
+    path = run_bronze(spark, messages, base)
+    return spark.read.parquet(path).select(*_raw_cols(), "record_id")
+
+
+def q_stream_dedup(spark, sf):
+    """The whole feed published twice; de-duplication keeps each record once."""
+    from shelfwise.plans.stream import publish_rows, run_bronze
+    from shelfwise.session import scratch_path
+
+    base = scratch_path(spark, "dedup")
+    messages = f"{base}/messages"
+    rows = _bronze_rows(spark, sf)
+    publish_rows(rows, messages)
+    run_bronze(spark, messages, base, dedup=True)
+    publish_rows(rows, messages)
+    path = run_bronze(spark, messages, base, dedup=True)
+    return spark.read.parquet(path).select(*_raw_cols(), "record_id")
+
+
+def q_stream_impute_scopes(spark, sf):
+    """Frozen scope fills every gap with the frozen value; batch scope fills
+    each micro-batch's gaps with one value of its own."""
+    from shelfwise.plans.stream import run_silver_gold
+    from shelfwise.session import scratch_path
+
+    base, messages = _published(spark, sf)
+    from shelfwise.plans.stream import run_bronze
+
+    run_bronze(spark, messages, base, max_files_per_trigger=4)
+    gaps = layers.clean(spark, sf).where(F.col("item_weight").isNull()).select("record_id")
+    frozen_base = scratch_path(spark, "frozen")
+    batch_base = scratch_path(spark, "batchscope")
+    results = {}
+    for scope, out in (("frozen", frozen_base), ("batch", batch_base)):
+        # Both runs consume the same bronze folder with their own checkpoints.
+        from shelfwise.streaming.silver_gold import BatchProcessor, StreamLayout, start_silver_gold
+
+        layout = StreamLayout(out)
+        proc = BatchProcessor(layout, median_scope=scope, frozen_median=FROZEN_WEIGHT)
+        start_silver_gold(spark, f"{base}/bronze", layout, proc, max_files_per_trigger=4).awaitTermination()
+        results[scope] = spark.read.parquet(layout.silver).join(gaps, "record_id", "left_semi")
+    frozen_ok = results["frozen"].agg(
+        F.coalesce(F.min(F.col("item_weight") == FROZEN_WEIGHT), F.lit(False))).scalar()
+    per_batch = results["batch"].groupBy("batch_id").agg(
+        F.count_distinct("item_weight").alias("values"), F.count("item_weight").alias("filled"),
+        F.count(F.lit(1)).alias("rows"))
+    return per_batch.agg(
+        frozen_ok.alias("frozen_ok"),
+        F.coalesce(F.max("values") == 1, F.lit(False)).alias("one_value_per_batch"),
+        (F.sum("filled") == F.sum("rows")).alias("all_filled"),
+    )
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name, *_ in dash.CHARTS:
@@ -434,5 +558,11 @@ def registry() -> dict[str, Query]:
         "sales_distribution_constant": q_sales_distribution_constant,
         "sales_distribution_empty": q_sales_distribution_empty,
         "append_missing_columns": q_append_missing_columns,
+        "stream_bronze": q_stream_bronze,
+        "stream_silver": q_stream_silver,
+        "stream_gold_equals_batch": q_stream_gold_equals_batch,
+        "stream_restart": q_stream_restart,
+        "stream_dedup": q_stream_dedup,
+        "stream_impute_scopes": q_stream_impute_scopes,
     })
     return q
