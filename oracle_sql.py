@@ -359,4 +359,12 @@ def queries_sql() -> dict[str, str]:
     q["stream_restart"] = with_ctes(raw_out, silver=False)
     q["stream_dedup"] = with_ctes(raw_out, silver=False)
     q["stream_impute_scopes"] = "SELECT true AS frozen_ok, true AS one_value_per_batch, true AS all_filled"
+
+    # ---- machine learning: property checks (constant expected rows) ----
+    q["onehot_unknown"] = "SELECT true AS unknown_all_zero, true AS null_all_zero, true AS known_one_hot"
+    q["train_split"] = "SELECT true AS complete, true AS disjoint, true AS near_80_pct"
+    q["train_forest"] = "SELECT true AS tree_count_ok, true AS depth_ok, true AS one_hot_expanded"
+    q["model_metrics"] = "SELECT true AS r2_ok, true AS rmse_positive, true AS mae_le_rmse"
+    q["model_roundtrip"] = "SELECT CAST(0 AS BIGINT) AS mismatches, true AS all_rows"
+    q["score_if_missing"] = "SELECT CAST(0 AS BIGINT) AS rescored_rows"
     return q

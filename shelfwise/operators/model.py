@@ -50,8 +50,10 @@ def build_pipeline(num_trees: int = 200, max_depth: int = 30, seed: int = 42,
     encoded = [f"{c}__ohe" for c in CATEGORICAL_FEATURES]
     indexer = StringIndexer(inputCols=list(CATEGORICAL_FEATURES), outputCols=indexed,
                             handleInvalid="keep")
-    encoder = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True,
-                            handleInvalid="keep")
+    # The indexer's "keep" adds one trailing unknown slot (also used for
+    # null); dropLast removes exactly that slot → unknown = all zeros,
+    # every known category keeps its own position.
+    encoder = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)
     assembler = VectorAssembler(inputCols=encoded + list(NUMERIC_FEATURES),
                                 outputCol="features", handleInvalid="keep")
     forest = RandomForestRegressor(featuresCol="features", labelCol=target,
@@ -90,6 +92,18 @@ def train(silver: DataFrame, num_trees: int = 200, max_depth: int = 30, seed: in
     return model, metrics
 
 
+def with_planted_target(silver: DataFrame, column: str = "planted_sales") -> DataFrame:
+    """A learnable target for test data whose real sales carry no signal:
+    50 + 40·(outlet type index) + 3·weight + 100·visibility."""
+    type_index = (F.when(F.col("outlet_type") == "Grocery Store", 0)
+                  .when(F.col("outlet_type") == "Supermarket Type1", 1)
+                  .when(F.col("outlet_type") == "Supermarket Type2", 2)
+                  .when(F.col("outlet_type") == "Supermarket Type3", 3))
+    return silver.withColumn(
+        column, F.lit(50.0) + F.lit(40.0) * type_index + F.lit(3.0) * F.col("item_weight")
+        + F.lit(100.0) * F.col("item_visibility"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -507,6 +507,151 @@ def q_stream_impute_scopes(spark, sf):
     )
 
 
+# --------------------------------------------------------------------------
+# Machine learning (planted learnable target, see FIXTURES.md §3)
+# --------------------------------------------------------------------------
+
+PLANTED = "planted_sales"
+TEST_TREES, TEST_DEPTH = 20, 8
+_MODELS: dict[str, tuple] = {}
+
+
+def _trained(spark, sf):
+    """Fit once per (session, folder): (model, metrics frame, model path)."""
+    from shelfwise.operators.model import save_metrics, save_model, train, with_planted_target
+    from shelfwise.session import scratch_path
+
+    key = f"{id(spark)}:{sf}"
+    if key not in _MODELS:
+        silver = with_planted_target(layers.silver(spark, sf), PLANTED)
+        model, metrics = train(silver, num_trees=TEST_TREES, max_depth=TEST_DEPTH, target=PLANTED)
+        path = scratch_path(spark, "model")
+        save_model(model, f"{path}/model")
+        save_metrics(metrics, f"{path}/metrics")
+        _MODELS[key] = (model, path)
+    return _MODELS[key]
+
+
+def q_onehot_unknown(spark, sf):
+    """Unknown and null categories encode to the all-zero one-hot vector."""
+    from pyspark.ml.functions import vector_to_array
+
+    from shelfwise.operators.model import build_pipeline
+
+    silver = layers.silver(spark, sf)
+    stages = build_pipeline().getStages()[:2]
+    from pyspark.ml import Pipeline
+
+    enc = Pipeline(stages=stages).fit(silver)
+    probe = silver.withColumn(
+        "item_type",
+        F.when(F.col("outlet_size") == "Small", F.lit("never seen"))
+        .when(F.col("outlet_size") == "Medium", F.lit(None).cast("string"))
+        .otherwise(F.col("item_type")))
+    out = enc.transform(probe).withColumn("v", vector_to_array("item_type__ohe"))
+    nz = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + F.abs(x))
+    return out.agg(
+        F.min(F.when(F.col("outlet_size") == "Small", nz == 0)).alias("unknown_all_zero"),
+        F.min(F.when(F.col("outlet_size") == "Medium", nz == 0)).alias("null_all_zero"),
+        F.min(F.when(F.col("outlet_size") == "High", nz == 1)).alias("known_one_hot"),
+    )
+
+
+def q_train_split(spark, sf):
+    """80/20 hash split: disjoint, complete, close to 80 %."""
+    from shelfwise.operators.model import split
+
+    silver = layers.silver(spark, sf)
+    train_df, test_df = split(silver)
+    n_train = train_df.agg(F.count(F.lit(1))).scalar()
+    n_test = test_df.agg(F.count(F.lit(1))).scalar()
+    overlap = train_df.select("record_id").join(test_df.select("record_id"), "record_id").agg(
+        F.count(F.lit(1))).scalar()
+    return silver.agg(F.count(F.lit(1)).alias("n")).select(
+        ((n_train + n_test) == F.col("n")).alias("complete"),
+        (overlap == 0).alias("disjoint"),
+        (F.abs(n_train / F.col("n") - 0.8) < 0.02).alias("near_80_pct"),
+    )
+
+
+def q_train_forest(spark, sf):
+    model, _ = _trained(spark, sf)
+    forest = model.stages[-1]
+    return spark.range(1).select(
+        (F.lit(forest.getNumTrees) == TEST_TREES).alias("tree_count_ok"),
+        (F.lit(max(t.depth for t in forest.trees)) <= TEST_DEPTH).alias("depth_ok"),
+        (F.lit(forest.numFeatures) > 8).alias("one_hot_expanded"),
+    )
+
+
+def q_model_metrics(spark, sf):
+    """Metrics document written by training, read back: planted signal found."""
+    from shelfwise.operators.model import load_metrics
+
+    _, path = _trained(spark, sf)
+    m = load_metrics(spark, f"{path}/metrics")
+    return m.select((F.col("r2") >= 0.8).alias("r2_ok"), (F.col("rmse") > 0).alias("rmse_positive"),
+                    (F.col("mae") <= F.col("rmse")).alias("mae_le_rmse"))
+
+
+def q_model_roundtrip(spark, sf):
+    """Saved + loaded model predicts exactly what the fitted one does."""
+    from shelfwise.operators.model import load_model, score
+
+    model, path = _trained(spark, sf)
+    loaded = load_model(spark, f"{path}/model")
+    silver = layers.silver(spark, sf)
+    a = score(model, silver).select("record_id", F.col("predicted_total_sales").alias("a"))
+    b = score(loaded, silver).select("record_id", F.col("predicted_total_sales").alias("b"))
+    return a.join(b, "record_id").agg(
+        F.count(F.when(F.col("a") != F.col("b"), 1)).alias("mismatches"),
+        (F.count(F.lit(1)) == silver.agg(F.count(F.lit(1))).scalar()).alias("all_rows"))
+
+
+def q_score_batch(spark, sf):
+    from shelfwise.operators.model import score
+
+    model, _ = _trained(spark, sf)
+    return score(model, layers.silver(spark, sf)).select("record_id", "predicted_total_sales")
+
+
+def q_score_if_missing(spark, sf):
+    """An existing prediction column is kept, not re-scored."""
+    from shelfwise.operators.model import score_if_missing
+
+    model, _ = _trained(spark, sf)
+    silver = layers.silver(spark, sf).withColumn("predicted_total_sales", F.col("total_sales"))
+    again = score_if_missing(model, silver)
+    return again.agg(F.count(F.when(F.col("predicted_total_sales") != F.col("total_sales"), 1))
+                     .alias("rescored_rows"))
+
+
+def q_prediction_summary(spark, sf):
+    from shelfwise.plans.dashboard import prediction_summary
+
+    model, _ = _trained(spark, sf)
+    filtered = dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER)
+    return prediction_summary(model, filtered)
+
+
+def q_prediction_sample(spark, sf):
+    from shelfwise.plans.dashboard import prediction_sample
+
+    model, _ = _trained(spark, sf)
+    filtered = dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER)
+    return prediction_sample(model, filtered.select(*SILVER_OUT), limit=50)
+
+
+def q_stream_scoring(spark, sf):
+    """Micro-batches scored in foreachBatch with the trained model."""
+    from shelfwise.plans.stream import run_stream
+
+    model, _ = _trained(spark, sf)
+    base, messages = _published(spark, sf)
+    layout = run_stream(spark, messages, base, model=model, max_files_per_trigger=4)
+    return spark.read.parquet(layout.silver).select("record_id", "predicted_total_sales")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name, *_ in dash.CHARTS:
@@ -564,5 +709,15 @@ def registry() -> dict[str, Query]:
         "stream_restart": q_stream_restart,
         "stream_dedup": q_stream_dedup,
         "stream_impute_scopes": q_stream_impute_scopes,
+        "onehot_unknown": q_onehot_unknown,
+        "train_split": q_train_split,
+        "train_forest": q_train_forest,
+        "model_metrics": q_model_metrics,
+        "model_roundtrip": q_model_roundtrip,
+        "score_batch": q_score_batch,
+        "score_if_missing": q_score_if_missing,
+        "prediction_summary": q_prediction_summary,
+        "prediction_sample": q_prediction_sample,
+        "stream_scoring": q_stream_scoring,
     })
     return q
