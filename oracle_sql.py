@@ -32,7 +32,8 @@ raw AS (
     CAST(l.l_extendedprice AS DOUBLE) AS "Total Sales",
     CAST(1.0 + 0.5 * (l.l_linenumber % 9) AS DOUBLE) AS "Rating",
     l.l_shipdate AS ingest_ts,
-    concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS record_id
+    concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+              strftime(l.l_shipdate, '%Y%m%d')) AS record_id
   FROM lineitem l
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey

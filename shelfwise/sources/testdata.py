@@ -67,6 +67,8 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate",
     )
+    # (order, line, part, supplier) repeats in the bundled lineitem; adding
+    # the ship date makes the record id unique at every bundled scale.
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     supplier = (
@@ -96,9 +98,8 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("double").alias("Total Sales"),
         (F.lit(1.0) + F.lit(0.5) * (ln % 9)).cast("double").alias("Rating"),
         F.col("l_shipdate").cast("timestamp").alias("ingest_ts"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
-            RECORD_ID
-        ),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.date_format("l_shipdate", "yyyyMMdd")).alias(RECORD_ID),
     )
 
 
