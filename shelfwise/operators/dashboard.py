@@ -198,8 +198,10 @@ def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGR
         )
 
     b = bounds(stats)
-    lo_v, hi_v = b.select("lo").scalar(), b.select("hi").scalar()
-    step_v, adj_v = b.select("step").scalar(), b.select("adj").scalar()
+    # One scalar subquery (a struct), evaluated once and reused by every
+    # reference below.
+    st = b.select(F.struct("lo", "hi", "step", "adj", "n").alias("st")).scalar()
+    lo_v, hi_v, step_v, adj_v = st["lo"], st["hi"], st["step"], st["adj"]
 
     def edge(i: Column) -> Column:
         return (
@@ -225,8 +227,13 @@ def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGR
             .otherwise(i.cast("double") * F.col("step") + F.col("lo"))
         )
 
+    # The spine reads the same scalar, so the data is scanned only for the
+    # stats subquery and for the bin counts.
     spine = (
-        b.where(F.col("n") > 0)
+        frame.sparkSession.range(1)
+        .select(st.alias("st"))
+        .select("st.*")
+        .where(F.col("n") > 0)
         .withColumn("edges", F.transform(F.sequence(F.lit(0), F.lit(bins)), hof_edge))
         .withColumn(
             "prec",

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -87,7 +88,14 @@ def train(silver: DataFrame, num_trees: int = 200, max_depth: int = 30, seed: in
     """Fit on 80 % and return (model, one-row metrics frame on the 20 %)."""
     data = silver.select(*FEATURE_COLUMNS, target, RECORD_ID).where(F.col(target).isNotNull())
     train_df, test_df = split(data, seed=seed)
-    model = build_pipeline(num_trees, max_depth, seed, target=target).fit(train_df)
+    # The fit makes several passes (indexing, split finding, binning);
+    # keep the training rows in executor memory/disk for them. A lost
+    # executor's blocks are recomputed from lineage.
+    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = build_pipeline(num_trees, max_depth, seed, target=target).fit(train_df)
+    finally:
+        train_df.unpersist()
     metrics = evaluate(model.transform(test_df), target)
     return model, metrics
 
