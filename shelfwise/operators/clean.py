@@ -41,21 +41,22 @@ def clean_frame(frame: DataFrame) -> DataFrame:
 
 def median_of(frame: DataFrame, column: str, mode: str = "approx",
               relative_error: float = 0.01) -> Column:
-    """Scalar-subquery column holding the median of ``column``.
+    """Column holding the median of ``column`` (NaN and null ignored).
 
-    ``approx`` (default) is ``percentile_approx`` with accuracy
-    ``1/relative_error``: a mergeable sketch of bounded size, safe on any
-    volume. ``exact`` is Spark's ``median`` (keeps one count per distinct
-    value in the final merge; use it on low-cardinality measures).
-    NaN and null are ignored, as in ``approxQuantile``.
+    ``approx`` (default) is a scalar subquery over ``percentile_approx``
+    with accuracy ``1/relative_error`` — a mergeable sketch of bounded
+    size, evaluated once inside the plan. ``exact`` runs the distributed
+    bracket refinement of :mod:`shelfwise.operators.quantiles` now (a few
+    passes, bounded final step) and returns the value as a literal.
     """
-    values = frame.where(~is_missing(F.col(column)))
     if mode == "exact":
-        agg = F.median(column)
-    elif mode == "approx":
-        agg = F.percentile_approx(column, 0.5, int(round(1.0 / relative_error)))
-    else:
+        from shelfwise.operators.quantiles import exact_median
+
+        return F.lit(exact_median(frame, column)).cast("double")
+    if mode != "approx":
         raise ValueError(f"unknown median mode {mode!r}")
+    values = frame.where(~is_missing(F.col(column)))
+    agg = F.percentile_approx(column, 0.5, int(round(1.0 / relative_error)))
     return values.agg(agg.cast("double").alias("median")).scalar()
 
 
@@ -63,8 +64,9 @@ def impute_weight(frame: DataFrame, column: str = "item_weight", mode: str = "ap
                   relative_error: float = 0.01, median: Column | None = None) -> DataFrame:
     """Fill null/NaN values of ``column`` with the column median.
 
-    The median is a scalar subquery: Spark runs it once and substitutes
-    the value, so the result stays one lazy plan. When every value is
+    In ``approx`` mode the median is a scalar subquery (Spark runs it once
+    and substitutes the value, so the result stays one lazy plan); in
+    ``exact`` mode it is computed first (see :func:`median_of`). When every value is
     missing the median is null and the column stays null (no error).
     ``median`` overrides the value (e.g. a frozen median in streaming).
     """

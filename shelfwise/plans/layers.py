@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.operators.clean import clean_frame, impute_weight, with_event_date
 from shelfwise.sources.testdata import sales_source
 
-# Registered queries compare with an exact-median oracle. The weight is a
-# small-domain attribute, so Spark's exact ``median`` (one count per
-# distinct value) is cheap here; the library default stays ``approx``.
+# Registered queries compare with an exact-median oracle, so they use the
+# distributed exact median; the library default stays ``approx``.
 QUERY_MEDIAN_MODE = "exact"
 
 
