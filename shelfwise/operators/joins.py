@@ -1,12 +1,24 @@
-"""Join helpers with an explicit, proven size bound for broadcasting."""
+"""Join helpers: broadcast only behind a proven size bound.
+
+Two ways to get the bound:
+
+* ``max_broadcast_rows=None`` (default): no hint. Spark broadcasts only
+  when the side's size statistics are under the broadcast threshold, and
+  AQE re-decides after the side's shuffle stage has run, from its real
+  size. For dimensions derived lazily from a large table this costs nothing
+  extra.
+* ``max_broadcast_rows=N``: for a materialised table (files) the row count
+  is checked with ``limit(N + 1).count()`` — cheap on a scan — and the
+  ``broadcast`` hint is given only when it holds.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast at most this many rows unless the caller says otherwise.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# None: leave the decision to Spark's size statistics and AQE.
+DEFAULT_BROADCAST_ROWS: int | None = None
 
 
 def has_at_most(frame: DataFrame, max_rows: int) -> bool:
@@ -18,15 +30,17 @@ def has_at_most(frame: DataFrame, max_rows: int) -> bool:
     return frame.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(frame: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(frame)`` if it is provably small, else ``frame`` unchanged
-    (Spark then plans a shuffle join; AQE may still convert it at runtime
-    from real shuffle statistics)."""
+def sized_broadcast(frame: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(frame)`` if it provably has ≤ ``max_rows`` rows, else
+    ``frame`` unchanged (Spark then plans from statistics; AQE may still
+    convert to a broadcast at runtime from the real shuffle size)."""
+    if max_rows is None:
+        return frame
     return F.broadcast(frame) if has_at_most(frame, max_rows) else frame
 
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, keys: list[str],
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                   null_safe: bool = False) -> DataFrame:
     """Left equi-join of a fact to a dimension on ``keys``.
 

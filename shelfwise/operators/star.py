@@ -65,7 +65,7 @@ def dim_date(silver: DataFrame, null_token: str | None = None) -> DataFrame:
 
 def fact_sales(silver: DataFrame, mode: str = "inline", null_token: str | None = None,
                dims: dict[str, DataFrame] | None = None,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """Fact rows with item/outlet/date keys and the four measures."""
     frame = silver if "event_date" in silver.columns else with_event_date(silver)

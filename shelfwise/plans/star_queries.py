@@ -11,7 +11,7 @@ from shelfwise.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 
 def sales_by_dim_attributes(fact: DataFrame, dim: DataFrame, key: str, attributes: Sequence[str],
-                            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                            max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                             round_to: int | None = 2) -> DataFrame:
     """Total sales and row count per dimension attribute(s).
 
@@ -19,8 +19,9 @@ def sales_by_dim_attributes(fact: DataFrame, dim: DataFrame, key: str, attribute
     final aggregation, so a hot key collapses before any join), and only
     that per-key aggregate is joined to the dimension — the join input is
     bounded by the number of distinct keys, not by the fact size. The
-    dimension is broadcast only when its row count is proven under the
-    bound; otherwise Spark plans a shuffle join.
+    dimension is broadcast only behind a size check (see
+    :mod:`shelfwise.operators.joins`); otherwise it is a shuffle join in
+    which the pre-aggregated side is already partitioned by the key.
     """
     per_key = fact.groupBy(key).agg(
         F.sum("total_sales").alias("_sum"), F.count(F.lit(1)).alias("_cnt")
