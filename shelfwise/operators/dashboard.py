@@ -343,10 +343,5 @@ def filter_options(frame: DataFrame) -> DataFrame:
     )
 
 
-def filter_option_lists(frame: DataFrame) -> DataFrame:
-    """One row, one sorted array per dimension (for low-cardinality dims)."""
-    return frame.agg(*[F.sort_array(F.collect_set(d)).alias(d) for d in FILTER_DIMENSIONS])
-
-
 def sales_bounds(frame: DataFrame) -> DataFrame:
     return frame.agg(F.min("total_sales").alias("sales_min"), F.max("total_sales").alias("sales_max"))
