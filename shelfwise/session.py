@@ -15,27 +15,37 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app_name: str = "shelfwise",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  max_partition_bytes: str | None = None) -> SparkSession:
     """Session with the settings this library is written for.
 
-    ANSI mode stays on (Spark 4 default); raw input is cast with
-    ``try_cast`` so malformed values become null instead of failing.
+    Local runs (tests, bench) get ``shuffle_partitions`` (default 8) and
+    a bounded driver heap. On a cluster the partition sizing is left to
+    the cluster config unless given: AQE coalesces post-shuffle
+    partitions to ``advisoryPartitionSizeInBytes`` and splits skewed
+    ones, so a generous initial partition count is safe. ANSI mode stays
+    on (Spark 4 default); raw input is cast with ``try_cast``.
     """
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    parts = shuffle_partitions or 8
+    master = master or os.environ.get("SHELFWISE_MASTER") or \
+        f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+    local = master.startswith("local")
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if local or shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+    if max_partition_bytes:
+        builder = builder.config("spark.sql.files.maxPartitionBytes", max_partition_bytes)
+    if local:
+        builder = builder.config("spark.driver.memory", "16g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
