@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import canonical_fat_content, col, is_missing
 from shelfwise.schemas import DOUBLE_COLUMNS, INT_COLUMNS, RAW_TO_SILVER, TRIMMED_COLUMNS
 
+# ---- fixed values: relative error of the approximate weight median ----
+MEDIAN_RELATIVE_ERROR = 0.01
+
 
 def _silver_name(name: str) -> str:
     return RAW_TO_SILVER.get(name, name)
@@ -40,7 +43,7 @@ def clean_frame(frame: DataFrame) -> DataFrame:
 
 
 def median_of(frame: DataFrame, column: str, mode: str = "approx",
-              relative_error: float = 0.01) -> Column:
+              relative_error: float = MEDIAN_RELATIVE_ERROR) -> Column:
     """Column holding the median of ``column`` (NaN and null ignored).
 
     ``approx`` (default) is a scalar subquery over ``percentile_approx``
@@ -61,7 +64,7 @@ def median_of(frame: DataFrame, column: str, mode: str = "approx",
 
 
 def impute_weight(frame: DataFrame, column: str = "item_weight", mode: str = "approx",
-                  relative_error: float = 0.01, median: Column | None = None) -> DataFrame:
+                  relative_error: float = MEDIAN_RELATIVE_ERROR, median: Column | None = None) -> DataFrame:
     """Fill null/NaN values of ``column`` with the column median.
 
     In ``approx`` mode the median is a scalar subquery (Spark runs it once
@@ -75,7 +78,7 @@ def impute_weight(frame: DataFrame, column: str = "item_weight", mode: str = "ap
     return frame.withColumn(column, filled)
 
 
-def to_silver(frame: DataFrame, mode: str = "approx", relative_error: float = 0.01) -> DataFrame:
+def to_silver(frame: DataFrame, mode: str = "approx", relative_error: float = MEDIAN_RELATIVE_ERROR) -> DataFrame:
     """Cleaning followed by weight imputation (the reference's silver)."""
     return impute_weight(clean_frame(frame), mode=mode, relative_error=relative_error)
 

@@ -35,10 +35,13 @@ CHARTS = (
 )
 CHART_BY_NAME = {c[0]: c for c in CHARTS}
 
+# ---- fixed values: histogram (pd.cut defaults), sample size and top-k ----
 HISTOGRAM_BINS = 20
 LABEL_PRECISION = 3
+RANGE_ADJUST = 0.001          # first edge lowered / constant range widened by 0.1 %
 SAMPLE_DEFAULT = 50
 SAMPLE_MAX = 100
+TOP_K = 10
 
 
 # --------------------------------------------------------------------------
@@ -188,13 +191,14 @@ def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGR
     def bounds(s: DataFrame) -> DataFrame:
         mn, mx = F.col("mn"), F.col("mx")
         const = mn == mx
-        lo = F.when(const, mn - F.when(mn != 0, F.abs(mn) * 0.001).otherwise(0.001)).otherwise(mn)
-        hi = F.when(const, mx + F.when(mx != 0, F.abs(mx) * 0.001).otherwise(0.001)).otherwise(mx)
+        a = RANGE_ADJUST
+        lo = F.when(const, mn - F.when(mn != 0, F.abs(mn) * a).otherwise(a)).otherwise(mn)
+        hi = F.when(const, mx + F.when(mx != 0, F.abs(mx) * a).otherwise(a)).otherwise(mx)
         return (
             s.withColumn("lo", lo)
             .withColumn("hi", hi)
             .withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
-            .withColumn("adj", F.when(const, F.lit(0.0)).otherwise((F.col("hi") - F.col("lo")) * 0.001))
+            .withColumn("adj", F.when(const, F.lit(0.0)).otherwise((F.col("hi") - F.col("lo")) * a))
         )
 
     b = bounds(stats)
@@ -268,7 +272,7 @@ def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGR
 # Tables and headline numbers
 # --------------------------------------------------------------------------
 
-def top_products(frame: DataFrame, k: int = 10, round_to: int | None = 2) -> DataFrame:
+def top_products(frame: DataFrame, k: int = TOP_K, round_to: int | None = 2) -> DataFrame:
     """Top ``k`` (item id, item type) by total sales, with mean rating.
 
     Partial aggregation per task collapses a hot item before the shuffle;

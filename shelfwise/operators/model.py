@@ -28,6 +28,11 @@ from shelfwise.schemas import (
     TARGET_COLUMN,
 )
 
+# ---- fixed values: forest size, seed, split and metric names ----
+NUM_TREES = 200
+MAX_DEPTH = 30            # "unbounded" in the source; 30 is Spark's maximum
+SEED = 42
+TRAIN_PCT = 80
 METRIC_NAMES = ("mae", "rmse", "r2")
 METRICS_SCHEMA = T.StructType([T.StructField(m, T.DoubleType()) for m in METRIC_NAMES])
 
@@ -37,14 +42,14 @@ def training_frame(silver: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:
     return silver.select(*FEATURE_COLUMNS, target).where(F.col(target).isNotNull())
 
 
-def split(frame: DataFrame, train_pct: int = 80, seed: int = 42,
+def split(frame: DataFrame, train_pct: int = TRAIN_PCT, seed: int = SEED,
           id_column: str = RECORD_ID) -> tuple[DataFrame, DataFrame]:
     """Deterministic train/test split by hashing the record id."""
     bucket = F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(100))
     return frame.where(bucket < train_pct), frame.where(bucket >= train_pct)
 
 
-def build_pipeline(num_trees: int = 200, max_depth: int = 30, seed: int = 42,
+def build_pipeline(num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED,
                    max_bins: int = 32, target: str = TARGET_COLUMN) -> Pipeline:
     """One-hot (unknown/null → all zeros) + numeric passthrough + forest."""
     indexed = [f"{c}__idx" for c in CATEGORICAL_FEATURES]
@@ -83,7 +88,7 @@ def evaluate_with_spark_ml(scored: DataFrame, target: str = TARGET_COLUMN) -> di
     return {m: float(ev.setMetricName(m).evaluate(scored)) for m in METRIC_NAMES}
 
 
-def train(silver: DataFrame, num_trees: int = 200, max_depth: int = 30, seed: int = 42,
+def train(silver: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED,
           target: str = TARGET_COLUMN) -> tuple[PipelineModel, DataFrame]:
     """Fit on 80 % and return (model, one-row metrics frame on the 20 %)."""
     data = silver.select(*FEATURE_COLUMNS, target, RECORD_ID).where(F.col(target).isNotNull())

@@ -9,7 +9,7 @@ Scale: ``lineitem`` is the big side. ``part`` and ``supplier`` grow with
 the data, so no hint is given for them: Spark broadcasts them only when
 their size statistics are under ``spark.sql.autoBroadcastJoinThreshold``
 and otherwise plans a shuffle join (AQE may still switch at runtime).
-``nation`` is a fixed 25-row table and is broadcast.
+``nation`` is a fixed 25-row table, broadcast after a row-count check.
 """
 
 from __future__ import annotations
@@ -17,8 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.joins import sized_broadcast
 from shelfwise.schemas import RECORD_ID
 
+# nation is a fixed-size table; the bound is still checked before broadcasting.
+NATION_MAX_ROWS = 1_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -74,7 +78,7 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = (
         table(spark, sf_dir, "supplier")
         .select("s_suppkey", "s_name", "s_nationkey")
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(sized_broadcast(nation, NATION_MAX_ROWS), F.col("s_nationkey") == F.col("n_nationkey"))
     )
     joined = li.join(part, li.l_partkey == part.p_partkey).join(
         supplier, li.l_suppkey == supplier.s_suppkey

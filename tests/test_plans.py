@@ -17,7 +17,14 @@ PKG = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
 
 
 def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="extended")
+    text = buf.getvalue()
+    return text[text.index("== Physical Plan =="):]
 
 
 @pytest.fixture(scope="module")
