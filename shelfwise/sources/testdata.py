@@ -5,11 +5,14 @@ The retail feed itself is not shipped, so the raw rows are derived from
 result has the twelve raw columns plus ``ingest_ts`` (the ship date
 standing in for the arrival clock) and a ``record_id``.
 
-Scale: ``lineitem`` is the big side. ``part`` and ``supplier`` grow with
-the data, so no hint is given for them: Spark broadcasts them only when
-their size statistics are under ``spark.sql.autoBroadcastJoinThreshold``
-and otherwise plans a shuffle join (AQE may still switch at runtime).
-``nation`` is a fixed 25-row table, broadcast after a row-count check.
+Scale: ``lineitem`` is the big side. ``part`` (1/30 of it) and
+``supplier`` (1/600) grow with the data, so each is broadcast only after
+a bounded row-count check (``limit(N + 1).count()`` on its own small
+scan); above the bound Spark plans a shuffle join (AQE may still switch
+at runtime). Without the check, Spark's size estimate for
+``supplier ⋈ nation`` (a product of sizes) would plan a sort-merge join
+and shuffle ``lineitem`` for a table of a few thousand rows.
+``nation`` is a fixed 25-row table, also checked.
 """
 
 from __future__ import annotations
@@ -20,8 +23,10 @@ from pyspark.sql import functions as F
 from shelfwise.operators.joins import sized_broadcast
 from shelfwise.schemas import RECORD_ID
 
-# nation is a fixed-size table; the bound is still checked before broadcasting.
+# Row bounds for broadcasting the dimension-like tables of the mapping.
 NATION_MAX_ROWS = 1_000
+PART_MAX_ROWS = 2_000_000
+SUPPLIER_MAX_ROWS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,12 +78,13 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # (order, line, part, supplier) repeats in the bundled lineitem; adding
     # the ship date makes the record id unique at every bundled scale.
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    part = sized_broadcast(table(spark, sf_dir, "part").select("p_partkey", "p_type"), PART_MAX_ROWS)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    supplier = (
+    supplier = sized_broadcast(
         table(spark, sf_dir, "supplier")
         .select("s_suppkey", "s_name", "s_nationkey")
-        .join(sized_broadcast(nation, NATION_MAX_ROWS), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(sized_broadcast(nation, NATION_MAX_ROWS), F.col("s_nationkey") == F.col("n_nationkey")),
+        SUPPLIER_MAX_ROWS,
     )
     joined = li.join(part, li.l_partkey == part.p_partkey).join(
         supplier, li.l_suppkey == supplier.s_suppkey
