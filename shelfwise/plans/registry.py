@@ -8,14 +8,52 @@ read-back, which is the operator being exercised).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators import dashboard as dash
 from shelfwise.operators import star
-from shelfwise.operators.clean import median_of
+from shelfwise.operators.clean import impute_weight, median_of, with_event_date
+from shelfwise.operators.constraints import (
+    check_foreign_keys,
+    check_not_null,
+    check_primary_keys,
+    with_serial_id,
+)
+from shelfwise.operators.model import (
+    build_pipeline,
+    load_metrics,
+    load_model,
+    save_metrics,
+    save_model,
+    score,
+    score_if_missing,
+    split,
+    train,
+    training_frame,
+    with_planted_target,
+)
 from shelfwise.plans import layers
+from shelfwise.plans.batch import gold_tables, run_batch
+from shelfwise.plans.dashboard import prediction_sample, prediction_summary
+from shelfwise.plans.star_queries import sales_by_dim_attributes
+from shelfwise.plans.stream import publish_rows, run_bronze, run_stream
+from shelfwise.schemas import RAW_SCHEMA
+from shelfwise.session import scratch_path
+from shelfwise.sinks.warehouse import LOAD_ORDER, TableWarehouse, load_warehouse
+from shelfwise.sources import messages
+from shelfwise.sources.files import lookup, page, page_after, read_csv, stamp_ingest
+from shelfwise.streaming.silver_gold import (
+    BatchProcessor,
+    StreamLayout,
+    read_dim,
+    start_silver_gold,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +89,6 @@ def q_impute_weight(spark, sf):
 
 
 def q_impute_all_null(spark, sf):
-    from shelfwise.operators.clean import impute_weight
-
     only_missing = layers.clean(spark, sf).where(F.col("item_weight").isNull())
     return impute_weight(only_missing, mode="exact").select("record_id", "item_weight")
 
@@ -87,8 +123,6 @@ def q_event_dates(spark, sf):
 
 
 def q_training_frame(spark, sf):
-    from shelfwise.operators.model import training_frame
-
     return training_frame(layers.silver(spark, sf))
 
 
@@ -113,15 +147,11 @@ def q_fact_via_join(spark, sf):
 
 
 def q_star_sales_by_item_type(spark, sf):
-    from shelfwise.plans.star_queries import sales_by_dim_attributes
-
     g = star.build_gold_layers(layers.silver(spark, sf))
     return sales_by_dim_attributes(g["fact_sales"], g["dim_item"], "item_key", ["item_type"])
 
 
 def q_star_sales_by_outlet(spark, sf):
-    from shelfwise.plans.star_queries import sales_by_dim_attributes
-
     g = star.build_gold_layers(layers.silver(spark, sf))
     return sales_by_dim_attributes(g["fact_sales"], g["dim_outlet"], "outlet_key",
                                    ["outlet_type", "outlet_size"])
@@ -206,11 +236,7 @@ def _raw_cols():
 
 def q_csv_bronze_roundtrip(spark, sf):
     """Raw rows → CSV (header) → read back with the declared schema."""
-    from pyspark.sql import types as T
 
-    from shelfwise.schemas import RAW_SCHEMA
-    from shelfwise.session import scratch_path
-    from shelfwise.sources.files import read_csv
 
     path = scratch_path(spark, "csv-roundtrip")
     raw = layers.bronze(spark, sf).select(*_raw_cols(), "record_id")
@@ -222,8 +248,6 @@ def q_csv_bronze_roundtrip(spark, sf):
 
 def q_json_decode(spark, sf):
     """Encode each raw row as a keyed JSON message and decode it back."""
-    from shelfwise.sources import messages
-
     raw = layers.bronze(spark, sf)
     decoded = messages.decode(messages.encode(raw, extra=("record_id",)))
     return decoded.select(*_raw_cols(), "record_id")
@@ -231,9 +255,6 @@ def q_json_decode(spark, sf):
 
 def q_publish_messages(spark, sf):
     """Publish messages to the file transport, read back, decode."""
-    from shelfwise.session import scratch_path
-    from shelfwise.sources import messages
-
     path = scratch_path(spark, "messages")
     messages.publish(messages.encode(layers.bronze(spark, sf), extra=("record_id",)), path)
     back = messages.read_message_files(spark, path)
@@ -243,8 +264,6 @@ def q_publish_messages(spark, sf):
 
 def q_ingest_stamp(spark, sf):
     """Processing-time stamp: one value for the whole batch, never null."""
-    from shelfwise.sources.files import stamp_ingest
-
     stamped = stamp_ingest(layers.bronze(spark, sf).drop("ingest_ts"))
     return stamped.agg(F.count_distinct("ingest_ts").alias("distinct_stamps"),
                        F.count(F.when(F.col("ingest_ts").isNull(), 1)).alias("null_stamps"))
@@ -252,38 +271,27 @@ def q_ingest_stamp(spark, sf):
 
 def q_scan_silver(spark, sf):
     """Silver written as Parquet and scanned back."""
-    from shelfwise.session import scratch_path
-
     path = scratch_path(spark, "silver")
     layers.silver(spark, sf).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).select(*SILVER_OUT)
 
 
 def q_page_rows(spark, sf):
-    from shelfwise.sources.files import page
-
     return page(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"), offset=1000, limit=1000)
 
 
 def q_page_keyset(spark, sf):
-    from shelfwise.sources.files import page_after
-
     return page_after(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"),
                       last_key="5000", limit=1000)
 
 
 def q_item_lookup(spark, sf):
-    from shelfwise.sources.files import lookup
-
     return lookup(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"), "P42")
 
 
 def q_gold_table_counts(spark, sf):
     """Whole batch job to Parquet (exact median), then rows per gold table."""
-    from functools import reduce
 
-    from shelfwise.plans.batch import gold_tables, run_batch
-    from shelfwise.session import scratch_path
 
     res = run_batch(spark, layers.bronze(spark, sf), scratch_path(spark, "batch"), median_mode="exact")
     tables = gold_tables(spark, res)
@@ -298,10 +306,7 @@ def _gold(spark, sf):
 
 def q_warehouse_load(spark, sf):
     """Load the star schema twice (truncate + load); counts must not double."""
-    from functools import reduce
 
-    from shelfwise.session import scratch_path
-    from shelfwise.sinks.warehouse import LOAD_ORDER, TableWarehouse, load_warehouse
 
     wh = TableWarehouse(scratch_path(spark, "warehouse"))
     gold = _gold(spark, sf)
@@ -313,26 +318,18 @@ def q_warehouse_load(spark, sf):
 
 
 def q_check_pk(spark, sf):
-    from shelfwise.operators.constraints import check_primary_keys
-
     return check_primary_keys(_gold(spark, sf))
 
 
 def q_check_not_null(spark, sf):
-    from shelfwise.operators.constraints import check_not_null
-
     return check_not_null(_gold(spark, sf))
 
 
 def q_check_fk(spark, sf):
-    from shelfwise.operators.constraints import check_foreign_keys
-
     return check_foreign_keys(_gold(spark, sf))
 
 
 def q_fact_serial_unique(spark, sf):
-    from shelfwise.operators.constraints import with_serial_id
-
     fact = with_serial_id(_gold(spark, sf)["fact_sales"])
     return fact.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("sales_id").alias("distinct_ids"))
 
@@ -343,8 +340,6 @@ NULL_SIZE_YEAR = 1990
 
 def q_fact_null_keys(spark, sf):
     """Null natural key: join mode leaves a null fact key, inline resolves."""
-    from shelfwise.operators.clean import with_event_date
-
     s = layers.silver(spark, sf)
     s = s.withColumn("outlet_size", F.when(F.col("outlet_establishment_year") == NULL_SIZE_YEAR,
                                            F.lit(None).cast("string")).otherwise(F.col("outlet_size")))
@@ -375,8 +370,6 @@ def q_sales_distribution_empty(spark, sf):
 
 def q_append_missing_columns(spark, sf):
     """Union by name where one side lacks a column (filled with null)."""
-    from shelfwise.operators.clean import with_event_date
-
     s = layers.silver(spark, sf).select("record_id", "outlet_size", "total_sales", "ingest_ts")
     with_date = with_event_date(s.where(F.col("outlet_size") == "Small")).drop("ingest_ts")
     without = s.where(F.col("outlet_size") != "Small").drop("ingest_ts")
@@ -402,9 +395,6 @@ def _parts(rows: DataFrame, n: int):
 
 def _published(spark, sf, parts: int = 3):
     """Publish the feed as ``parts`` appends to a fresh message folder."""
-    from shelfwise.plans.stream import publish_rows
-    from shelfwise.session import scratch_path
-
     base = scratch_path(spark, "stream")
     messages = f"{base}/messages"
     for part in _parts(_bronze_rows(spark, sf), parts):
@@ -413,16 +403,12 @@ def _published(spark, sf, parts: int = 3):
 
 
 def q_stream_bronze(spark, sf):
-    from shelfwise.plans.stream import run_bronze
-
     base, messages = _published(spark, sf)
     path = run_bronze(spark, messages, base, max_files_per_trigger=4)
     return spark.read.parquet(path).select(*_raw_cols(), "record_id")
 
 
 def q_stream_silver(spark, sf):
-    from shelfwise.plans.stream import run_stream
-
     base, messages = _published(spark, sf)
     layout = run_stream(spark, messages, base, max_files_per_trigger=4)
     return spark.read.parquet(layout.silver).select(*STREAM_OUT)
@@ -430,10 +416,7 @@ def q_stream_silver(spark, sf):
 
 def q_stream_gold_equals_batch(spark, sf):
     """Incrementally maintained dims (several micro-batches) as (table, key)."""
-    from functools import reduce
 
-    from shelfwise.plans.stream import run_stream
-    from shelfwise.streaming.silver_gold import read_dim
 
     base, messages = _published(spark, sf)
     layout = run_stream(spark, messages, base, max_files_per_trigger=4)
@@ -444,9 +427,6 @@ def q_stream_gold_equals_batch(spark, sf):
 
 def q_stream_restart(spark, sf):
     """Run, add more messages, run again from the checkpoint: each row once."""
-    from shelfwise.plans.stream import publish_rows, run_bronze
-    from shelfwise.session import scratch_path
-
     base = scratch_path(spark, "restart")
     messages = f"{base}/messages"
     first, second, third = _parts(_bronze_rows(spark, sf), 3)
@@ -460,9 +440,6 @@ def q_stream_restart(spark, sf):
 
 def q_stream_dedup(spark, sf):
     """The whole feed published twice; de-duplication keeps each record once."""
-    from shelfwise.plans.stream import publish_rows, run_bronze
-    from shelfwise.session import scratch_path
-
     base = scratch_path(spark, "dedup")
     messages = f"{base}/messages"
     rows = _bronze_rows(spark, sf)
@@ -476,11 +453,8 @@ def q_stream_dedup(spark, sf):
 def q_stream_impute_scopes(spark, sf):
     """Frozen scope fills every gap with the frozen value; batch scope fills
     each micro-batch's gaps with one value of its own."""
-    from shelfwise.plans.stream import run_silver_gold
-    from shelfwise.session import scratch_path
 
     base, messages = _published(spark, sf)
-    from shelfwise.plans.stream import run_bronze
 
     run_bronze(spark, messages, base, max_files_per_trigger=4)
     gaps = layers.clean(spark, sf).where(F.col("item_weight").isNull()).select("record_id")
@@ -489,8 +463,6 @@ def q_stream_impute_scopes(spark, sf):
     results = {}
     for scope, out in (("frozen", frozen_base), ("batch", batch_base)):
         # Both runs consume the same bronze folder with their own checkpoints.
-        from shelfwise.streaming.silver_gold import BatchProcessor, StreamLayout, start_silver_gold
-
         layout = StreamLayout(out)
         proc = BatchProcessor(layout, median_scope=scope, frozen_median=FROZEN_WEIGHT)
         start_silver_gold(spark, f"{base}/bronze", layout, proc, max_files_per_trigger=4).awaitTermination()
@@ -517,10 +489,7 @@ _MODELS: dict[str, tuple] = {}
 
 
 def _trained(spark, sf):
-    """Fit once per (session, folder): (model, metrics frame, model path)."""
-    from shelfwise.operators.model import save_metrics, save_model, train, with_planted_target
-    from shelfwise.session import scratch_path
-
+    """Fit once per (session, folder); returns (model, artifact folder)."""
     key = f"{id(spark)}:{sf}"
     if key not in _MODELS:
         silver = with_planted_target(layers.silver(spark, sf), PLANTED)
@@ -534,13 +503,10 @@ def _trained(spark, sf):
 
 def q_onehot_unknown(spark, sf):
     """Unknown and null categories encode to the all-zero one-hot vector."""
-    from pyspark.ml.functions import vector_to_array
 
-    from shelfwise.operators.model import build_pipeline
 
     silver = layers.silver(spark, sf)
     stages = build_pipeline().getStages()[:2]
-    from pyspark.ml import Pipeline
 
     enc = Pipeline(stages=stages).fit(silver)
     probe = silver.withColumn(
@@ -559,8 +525,6 @@ def q_onehot_unknown(spark, sf):
 
 def q_train_split(spark, sf):
     """80/20 hash split: disjoint, complete, close to 80 %."""
-    from shelfwise.operators.model import split
-
     silver = layers.silver(spark, sf)
     train_df, test_df = split(silver)
     n_train = train_df.agg(F.count(F.lit(1))).scalar()
@@ -586,8 +550,6 @@ def q_train_forest(spark, sf):
 
 def q_model_metrics(spark, sf):
     """Metrics document written by training, read back: planted signal found."""
-    from shelfwise.operators.model import load_metrics
-
     _, path = _trained(spark, sf)
     m = load_metrics(spark, f"{path}/metrics")
     return m.select((F.col("r2") >= 0.8).alias("r2_ok"), (F.col("rmse") > 0).alias("rmse_positive"),
@@ -596,8 +558,6 @@ def q_model_metrics(spark, sf):
 
 def q_model_roundtrip(spark, sf):
     """Saved + loaded model predicts exactly what the fitted one does."""
-    from shelfwise.operators.model import load_model, score
-
     model, path = _trained(spark, sf)
     loaded = load_model(spark, f"{path}/model")
     silver = layers.silver(spark, sf)
@@ -609,16 +569,12 @@ def q_model_roundtrip(spark, sf):
 
 
 def q_score_batch(spark, sf):
-    from shelfwise.operators.model import score
-
     model, _ = _trained(spark, sf)
     return score(model, layers.silver(spark, sf)).select("record_id", "predicted_total_sales")
 
 
 def q_score_if_missing(spark, sf):
     """An existing prediction column is kept, not re-scored."""
-    from shelfwise.operators.model import score_if_missing
-
     model, _ = _trained(spark, sf)
     silver = layers.silver(spark, sf).withColumn("predicted_total_sales", F.col("total_sales"))
     again = score_if_missing(model, silver)
@@ -627,16 +583,12 @@ def q_score_if_missing(spark, sf):
 
 
 def q_prediction_summary(spark, sf):
-    from shelfwise.plans.dashboard import prediction_summary
-
     model, _ = _trained(spark, sf)
     filtered = dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER)
     return prediction_summary(model, filtered)
 
 
 def q_prediction_sample(spark, sf):
-    from shelfwise.plans.dashboard import prediction_sample
-
     model, _ = _trained(spark, sf)
     filtered = dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER)
     return prediction_sample(model, filtered.select(*SILVER_OUT), limit=50)
@@ -644,8 +596,6 @@ def q_prediction_sample(spark, sf):
 
 def q_stream_scoring(spark, sf):
     """Micro-batches scored in foreachBatch with the trained model."""
-    from shelfwise.plans.stream import run_stream
-
     model, _ = _trained(spark, sf)
     base, messages = _published(spark, sf)
     layout = run_stream(spark, messages, base, model=model, max_files_per_trigger=4)

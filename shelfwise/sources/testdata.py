@@ -5,14 +5,15 @@ The retail feed itself is not shipped, so the raw rows are derived from
 result has the twelve raw columns plus ``ingest_ts`` (the ship date
 standing in for the arrival clock) and a ``record_id``.
 
-Scale: ``lineitem`` is the big side. ``part`` (1/30 of it) and
-``supplier`` (1/600) grow with the data, so each is broadcast only after
-a bounded row-count check (``limit(N + 1).count()`` on its own small
-scan); above the bound Spark plans a shuffle join (AQE may still switch
-at runtime). Without the check, Spark's size estimate for
-``supplier ⋈ nation`` (a product of sizes) would plan a sort-merge join
-and shuffle ``lineitem`` for a table of a few thousand rows.
-``nation`` is a fixed 25-row table, also checked.
+Scale: ``lineitem`` is the big side. It is joined to ``part``, then
+``supplier``, then ``nation``, each a plain scan, so Spark's broadcast
+decision for every side rests on that table's own file-size statistics
+(``spark.sql.autoBroadcastJoinThreshold``): small tables are broadcast;
+``part`` and ``supplier`` at large scale factors become shuffle joins
+(AQE may still switch at runtime, and splits skewed partitions).
+Pre-joining ``supplier ⋈ nation`` is avoided on purpose: the estimate
+of a join's size is the product of its inputs, which would push a
+few-thousand-row side over the threshold and shuffle ``lineitem``.
 """
 
 from __future__ import annotations
@@ -20,13 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators.joins import sized_broadcast
 from shelfwise.schemas import RECORD_ID
 
-# Row bounds for broadcasting the dimension-like tables of the mapping.
-NATION_MAX_ROWS = 1_000
-PART_MAX_ROWS = 2_000_000
-SUPPLIER_MAX_ROWS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,16 +74,13 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # (order, line, part, supplier) repeats in the bundled lineitem; adding
     # the ship date makes the record id unique at every bundled scale.
-    part = sized_broadcast(table(spark, sf_dir, "part").select("p_partkey", "p_type"), PART_MAX_ROWS)
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    supplier = sized_broadcast(
-        table(spark, sf_dir, "supplier")
-        .select("s_suppkey", "s_name", "s_nationkey")
-        .join(sized_broadcast(nation, NATION_MAX_ROWS), F.col("s_nationkey") == F.col("n_nationkey")),
-        SUPPLIER_MAX_ROWS,
-    )
-    joined = li.join(part, li.l_partkey == part.p_partkey).join(
-        supplier, li.l_suppkey == supplier.s_suppkey
+    joined = (
+        li.join(part, li.l_partkey == part.p_partkey)
+        .join(supplier, li.l_suppkey == supplier.s_suppkey)
+        .join(nation, supplier.s_nationkey == nation.n_nationkey)
     )
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     return joined.select(
