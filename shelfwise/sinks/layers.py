@@ -33,3 +33,19 @@ def write_gold(gold: dict[str, DataFrame], base: str, mode: str = "overwrite") -
 
 def read_gold(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(p) for name, p in paths.items()}
+
+
+def compact(spark: SparkSession, path: str, out_path: str, partition_by: tuple[str, ...] = ()) -> str:
+    """Rewrite a table of many small files (e.g. one set per micro-batch)
+    into a new version folder of right-sized files.
+
+    The ``rebalance`` hint lets AQE cut the data into partitions of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``; with
+    ``partition_by`` rows are clustered by those columns first, so each
+    output partition folder gets few, full files. The source is not
+    touched; readers switch to ``out_path`` when it is complete.
+    """
+    frame = spark.read.parquet(path)
+    frame = frame.hint("rebalance", *partition_by) if partition_by else frame.hint("rebalance")
+    write_parquet(frame, out_path, "overwrite", partition_by)
+    return out_path
