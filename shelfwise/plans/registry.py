@@ -602,6 +602,26 @@ def q_stream_scoring(spark, sf):
     return spark.read.parquet(layout.silver).select("record_id", "predicted_total_sales")
 
 
+def q_model_absent(spark, sf):
+    """No trained model yet: no predictions, summary 0.0, R² 0.0 ({} metrics)."""
+    from shelfwise.plans.dashboard import headline_with_model
+
+    missing = scratch_path(spark, "no-model")
+    model = load_model(spark, f"{missing}/model")
+    metrics = load_metrics(spark, f"{missing}/metrics")
+    filtered = dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER)
+    summary = prediction_summary(model, filtered)
+    r2 = headline_with_model(filtered, metrics).select("model_r2").scalar()
+    sampled = prediction_sample(model, filtered, limit=50)
+    return summary.select(
+        F.lit(model is None).alias("no_model"),
+        (F.col("avg_predicted_total_sales") == 0.0).alias("avg_zero"),
+        (F.col("sum_predicted_total_sales") == 0.0).alias("sum_zero"),
+        (r2 == 0.0).alias("r2_zero"),
+        F.lit("predicted_total_sales" not in sampled.columns).alias("sample_unscored"),
+    )
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name, *_ in dash.CHARTS:
@@ -669,5 +689,6 @@ def registry() -> dict[str, Query]:
         "prediction_summary": q_prediction_summary,
         "prediction_sample": q_prediction_sample,
         "stream_scoring": q_stream_scoring,
+        "model_absent": q_model_absent,
     })
     return q
