@@ -66,8 +66,12 @@ def dim_date(silver: DataFrame, null_token: str | None = None) -> DataFrame:
 def fact_sales(silver: DataFrame, mode: str = "inline", null_token: str | None = None,
                dims: dict[str, DataFrame] | None = None,
                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-               extra_columns: tuple[str, ...] = ()) -> DataFrame:
-    """Fact rows with item/outlet/date keys and the four measures."""
+               extra_columns: tuple[str, ...] = (), null_safe: bool = False) -> DataFrame:
+    """Fact rows with item/outlet/date keys and the four measures.
+
+    ``mode="join"`` with ``null_safe=True`` matches natural keys with
+    ``<=>``, so a row with a null key part still gets its dimension's key.
+    """
     frame = silver if "event_date" in silver.columns else with_event_date(silver)
     if mode == "inline":
         return frame.select(
@@ -84,9 +88,12 @@ def fact_sales(silver: DataFrame, mode: str = "inline", null_token: str | None =
         "dim_outlet": dim_outlet(frame, null_token),
         "dim_date": dim_date(frame, null_token),
     }
-    joined = left_join_dim(frame, dims["dim_item"], list(ITEM_NATURAL_KEY), max_broadcast_rows)
-    joined = left_join_dim(joined, dims["dim_outlet"], list(OUTLET_NATURAL_KEY), max_broadcast_rows)
-    joined = left_join_dim(joined, dims["dim_date"], list(DATE_NATURAL_KEY), max_broadcast_rows)
+    joined = left_join_dim(frame, dims["dim_item"], list(ITEM_NATURAL_KEY), max_broadcast_rows,
+                           null_safe)
+    joined = left_join_dim(joined, dims["dim_outlet"], list(OUTLET_NATURAL_KEY), max_broadcast_rows,
+                           null_safe)
+    joined = left_join_dim(joined, dims["dim_date"], list(DATE_NATURAL_KEY), max_broadcast_rows,
+                           null_safe)
     return joined.select(*FACT_COLUMNS, *extra_columns)
 
 

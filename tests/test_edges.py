@@ -113,6 +113,9 @@ def test_null_natural_key_modes(spark):
     assert joined.where(F.col("outlet_key").isNull()).count() == 3
     assert inline.where(F.col("outlet_key").isNull()).count() == 0
     assert inline.join(dim, "outlet_key", "left_anti").count() == 0
+    safe = star.fact_sales(g, mode="join", null_safe=True)
+    assert safe.where(F.col("outlet_key").isNull()).count() == 0
+    assert safe.exceptAll(inline).count() == 0 and inline.exceptAll(safe).count() == 0
 
 
 def test_null_token_separates_keys(spark):
