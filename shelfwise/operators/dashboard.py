@@ -205,7 +205,11 @@ def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGR
     # One scalar subquery (a struct), evaluated once and reused by every
     # reference below.
     st = b.select(F.struct("lo", "hi", "step", "adj", "n").alias("st")).scalar()
-    lo_v, hi_v, step_v, adj_v = st["lo"], st["hi"], st["step"], st["adj"]
+    # The scalar is projected onto the rows once; the bin expression reads
+    # the projected fields, so the plan holds one subquery reference.
+    with_st = values.select("x", st.alias("st"))
+    lo_v, hi_v = F.col("st.lo"), F.col("st.hi")
+    step_v, adj_v = F.col("st.step"), F.col("st.adj")
 
     def edge(i: Column) -> Column:
         return (
@@ -221,7 +225,7 @@ def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGR
         .when((k0 < bins) & (x > edge(k0)), k0 + 1)
         .otherwise(k0)
     )
-    counts = values.groupBy(k.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = with_st.groupBy(k.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
     # One-row frame → 21 edges → label precision → 20-row spine.
     def hof_edge(i: Column) -> Column:
