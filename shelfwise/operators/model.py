@@ -7,12 +7,8 @@ repeatable across partitionings and cluster sizes.
 
 from __future__ import annotations
 
-import json
-import os
-
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -83,11 +79,6 @@ def evaluate(scored: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:
     return stats.select("mae", "rmse", r2.alias("r2"))
 
 
-def evaluate_with_spark_ml(scored: DataFrame, target: str = TARGET_COLUMN) -> dict[str, float]:
-    ev = RegressionEvaluator(labelCol=target, predictionCol=PREDICTION_COLUMN)
-    return {m: float(ev.setMetricName(m).evaluate(scored)) for m in METRIC_NAMES}
-
-
 def train(silver: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED,
           target: str = TARGET_COLUMN) -> tuple[PipelineModel, DataFrame]:
     """Fit on 80 % and return (model, one-row metrics frame on the 20 %)."""
@@ -155,10 +146,3 @@ def score_if_missing(model: PipelineModel | None, frame: DataFrame) -> DataFrame
         return frame
     return score(model, frame)
 
-
-def model_exists(path: str) -> bool:
-    return os.path.exists(os.path.join(path, "metadata")) if "://" not in path else True
-
-
-def metrics_json(row: dict) -> str:
-    return json.dumps({k: float(v) for k, v in row.items()})

@@ -105,9 +105,3 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.date_format("l_shipdate", "yyyyMMdd")).alias(RECORD_ID),
     )
 
-
-def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the twelve raw columns and the record id (the publishable row)."""
-    from shelfwise.schemas import RAW_COLUMNS
-
-    return sales_source(spark, sf_dir).select(*[F.col(f"`{c}`") for c in RAW_COLUMNS], RECORD_ID)

@@ -133,3 +133,11 @@ def test_sized_broadcast_checks_rows(spark):
 
     df = spark.range(100)
     assert has_at_most(df, 100) and not has_at_most(df, 99)
+
+
+def test_fill_empty_serves_text(spark):
+    from shelfwise.sources.files import fill_empty, page
+
+    df = spark.createDataFrame([("A", None, 1.5), (None, 2, None)], "a string, b int, c double")
+    rows = fill_empty(page(df, 0, 10, order_by="c")).collect()
+    assert [tuple(r) for r in rows] == [("", "2", ""), ("A", "", "1.5")]
