@@ -48,7 +48,7 @@ from shelfwise.session import scratch_path
 from shelfwise.sinks.warehouse import LOAD_ORDER, TableWarehouse, load_warehouse
 from shelfwise.sources import messages
 from shelfwise.sources.files import lookup, page, page_after, read_csv, stamp_ingest
-from shelfwise.streaming.silver_gold import (
+from shelfwise.streaming.micro_batches import (
     BatchProcessor,
     StreamLayout,
     read_dim,
