@@ -42,7 +42,7 @@ from shelfwise.plans import layers
 from shelfwise.plans.batch import gold_tables, run_batch
 from shelfwise.plans.dashboard import prediction_sample, prediction_summary
 from shelfwise.plans.star_queries import sales_by_dim_attributes
-from shelfwise.plans.stream import publish_rows, run_bronze, run_stream
+from shelfwise.plans.stream import bronze_path, publish_rows, run_bronze, run_stream
 from shelfwise.schemas import RAW_SCHEMA
 from shelfwise.session import scratch_path
 from shelfwise.sinks.warehouse import LOAD_ORDER, TableWarehouse, load_warehouse
@@ -465,7 +465,7 @@ def q_stream_impute_scopes(spark, sf):
         # Both runs consume the same bronze folder with their own checkpoints.
         layout = StreamLayout(out)
         proc = BatchProcessor(layout, median_scope=scope, frozen_median=FROZEN_WEIGHT)
-        start_silver_gold(spark, f"{base}/bronze", layout, proc, max_files_per_trigger=4).awaitTermination()
+        start_silver_gold(spark, bronze_path(base), layout, proc, max_files_per_trigger=4).awaitTermination()
         results[scope] = spark.read.parquet(layout.silver).join(gaps, "record_id", "left_semi")
     frozen_ok = results["frozen"].agg(
         F.coalesce(F.min(F.col("item_weight") == FROZEN_WEIGHT), F.lit(False))).scalar()
