@@ -332,6 +332,12 @@ def queries_sql() -> dict[str, str]:
         f"AS orphan_rows FROM fact"
         for k, d in (("item_key", "dim_item"), ("outlet_key", "dim_outlet"), ("date_key", "dim_date"))),
         dims=True)
+    q["warehouse_sql"] = with_ctes(
+        "SELECT i.item_type, o.outlet_type, CAST(year(d.event_date) AS INTEGER) AS sales_year, "
+        f"{r2('sum(f.total_sales)')} AS total_sales, count(*) AS sales_rows "
+        "FROM fact f JOIN dim_item i ON f.item_key = i.item_key "
+        "JOIN dim_outlet o ON f.outlet_key = o.outlet_key JOIN dim_date d ON f.date_key = d.date_key "
+        "GROUP BY i.item_type, o.outlet_type, year(d.event_date)", dims=True)
     q["fact_serial_unique"] = with_ctes("SELECT count(*) AS rows, count(*) AS distinct_ids FROM fact", dims=True)
     q["fact_null_keys"] = with_ctes(
         "SELECT count(*) FILTER (WHERE outlet_establishment_year = 1990) AS join_null_keys, "

@@ -622,6 +622,29 @@ def q_model_absent(spark, sf):
     )
 
 
+# Star-schema SQL as a warehouse user writes it (views over the loaded tables).
+WAREHOUSE_SQL = """
+SELECT i.item_type, o.outlet_type, YEAR(d.event_date) AS sales_year,
+       bround(SUM(f.total_sales), 2) AS total_sales, COUNT(*) AS sales_rows
+FROM {p}fact_sales f
+JOIN {p}dim_item i ON f.item_key = i.item_key
+JOIN {p}dim_outlet o ON f.outlet_key = o.outlet_key
+JOIN {p}dim_date d ON f.date_key = d.date_key
+GROUP BY i.item_type, o.outlet_type, YEAR(d.event_date)
+"""
+
+
+def q_warehouse_sql(spark, sf):
+    """Load the star schema, then answer a business question in Spark SQL."""
+    import uuid
+
+    wh = TableWarehouse(scratch_path(spark, "warehouse-sql"))
+    load_warehouse(_gold(spark, sf), wh)
+    prefix = f"wh_{uuid.uuid4().hex[:8]}_"
+    wh.register_views(spark, prefix)
+    return spark.sql(WAREHOUSE_SQL.format(p=prefix))
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name, *_ in dash.CHARTS:
@@ -690,5 +713,6 @@ def registry() -> dict[str, Query]:
         "prediction_sample": q_prediction_sample,
         "stream_scoring": q_stream_scoring,
         "model_absent": q_model_absent,
+        "warehouse_sql": q_warehouse_sql,
     })
     return q
