@@ -27,5 +27,17 @@ def silver(spark: SparkSession, sf_dir: str, mode: str = QUERY_MEDIAN_MODE) -> D
     return impute_weight(clean(spark, sf_dir), mode=mode)
 
 
-def gold_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_event_date(silver(spark, sf_dir))
+def silver_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver whose weight median is the lazy approximate scalar subquery.
+
+    For queries that never read ``item_weight``: Catalyst prunes the median
+    subquery together with the column, so no pass is spent on it, and
+    the result is the one the exact median gives (the weight never
+    reaches the output). The exact median, by contrast, is computed
+    before planning and cannot be pruned.
+    """
+    return silver(spark, sf_dir, mode="approx")
+
+
+def gold_silver(spark: SparkSession, sf_dir: str, lazy: bool = False) -> DataFrame:
+    return with_event_date(silver_lazy(spark, sf_dir) if lazy else silver(spark, sf_dir))

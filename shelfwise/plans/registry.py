@@ -2,7 +2,9 @@
 
 Each one reads the whole bundled tables through ``plans.layers`` and
 returns a lazy DataFrame (a few write a layer first and return the
-read-back, which is the operator being exercised).
+read-back, which is the operator being exercised). Queries whose output
+reads ``item_weight`` use the exact-median silver; the others use
+``layers.silver_lazy``, whose median Catalyst prunes away unread.
 """
 
 from __future__ import annotations
@@ -73,7 +75,7 @@ SILVER_OUT = (
 
 
 def _chart(name: str) -> Query:
-    return lambda spark, sf: dash.chart(layers.silver(spark, sf), name)
+    return lambda spark, sf: dash.chart(layers.silver_lazy(spark, sf), name)
 
 
 def q_silver_clean(spark, sf):
@@ -119,7 +121,7 @@ def q_typed_casts(spark, sf):
 
 
 def q_event_dates(spark, sf):
-    return layers.gold_silver(spark, sf).groupBy("event_date").agg(F.count(F.lit(1)).alias("count"))
+    return layers.gold_silver(spark, sf, lazy=True).groupBy("event_date").agg(F.count(F.lit(1)).alias("count"))
 
 
 def q_training_frame(spark, sf):
@@ -127,15 +129,15 @@ def q_training_frame(spark, sf):
 
 
 def q_dim_item(spark, sf):
-    return star.dim_item(layers.gold_silver(spark, sf))
+    return star.dim_item(layers.gold_silver(spark, sf, lazy=True))
 
 
 def q_dim_outlet(spark, sf):
-    return star.dim_outlet(layers.gold_silver(spark, sf))
+    return star.dim_outlet(layers.gold_silver(spark, sf, lazy=True))
 
 
 def q_dim_date(spark, sf):
-    return star.dim_date(layers.gold_silver(spark, sf))
+    return star.dim_date(layers.gold_silver(spark, sf, lazy=True))
 
 
 def q_fact_sales(spark, sf):
@@ -147,22 +149,22 @@ def q_fact_via_join(spark, sf):
 
 
 def q_star_sales_by_item_type(spark, sf):
-    g = star.build_gold_layers(layers.silver(spark, sf))
+    g = star.build_gold_layers(layers.silver_lazy(spark, sf))
     return sales_by_dim_attributes(g["fact_sales"], g["dim_item"], "item_key", ["item_type"])
 
 
 def q_star_sales_by_outlet(spark, sf):
-    g = star.build_gold_layers(layers.silver(spark, sf))
+    g = star.build_gold_layers(layers.silver_lazy(spark, sf))
     return sales_by_dim_attributes(g["fact_sales"], g["dim_outlet"], "outlet_key",
                                    ["outlet_type", "outlet_size"])
 
 
 def q_top_products(spark, sf):
-    return dash.top_products(layers.silver(spark, sf))
+    return dash.top_products(layers.silver_lazy(spark, sf))
 
 
 def q_sales_distribution(spark, sf):
-    return dash.histogram(layers.silver(spark, sf))
+    return dash.histogram(layers.silver_lazy(spark, sf))
 
 
 def _rounded_metrics(frame: DataFrame) -> DataFrame:
@@ -172,49 +174,49 @@ def _rounded_metrics(frame: DataFrame) -> DataFrame:
 
 
 def q_headline_metrics(spark, sf):
-    return _rounded_metrics(dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER))
+    return _rounded_metrics(dash.apply_filters(layers.silver_lazy(spark, sf), **PRESET_FILTER))
 
 
 def q_headline_metrics_empty(spark, sf):
-    s = layers.silver(spark, sf)
+    s = layers.silver_lazy(spark, sf)
     top = s.agg(F.max("total_sales")).scalar()
     return _rounded_metrics(s.where(F.col("total_sales") > top))
 
 
 def q_summary(spark, sf):
-    s = dash.dataset_summary(layers.silver(spark, sf).select(*SILVER_OUT))
+    s = dash.dataset_summary(layers.silver_lazy(spark, sf).select(*SILVER_OUT))
     return s.select("rows", "columns", F.bround("total_sales_mean", 2).alias("total_sales_mean"),
                     F.bround("total_sales_sum", 2).alias("total_sales_sum"))
 
 
 def q_filter_options(spark, sf):
-    return dash.filter_options(layers.silver(spark, sf))
+    return dash.filter_options(layers.silver_lazy(spark, sf))
 
 
 def q_sales_bounds(spark, sf):
-    return dash.sales_bounds(layers.silver(spark, sf))
+    return dash.sales_bounds(layers.silver_lazy(spark, sf))
 
 
 def q_chart_rollup(spark, sf):
-    return dash.chart_rollup(layers.silver(spark, sf))
+    return dash.chart_rollup(layers.silver_lazy(spark, sf))
 
 
 def q_dashboard_filtered(spark, sf):
-    filtered = dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER, **PRESET_RANGE)
+    filtered = dash.apply_filters(layers.silver_lazy(spark, sf), **PRESET_FILTER, **PRESET_RANGE)
     return dash.chart_rollup(filtered)
 
 
 def q_filter_multiselect(spark, sf):
-    return dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER).select(
+    return dash.apply_filters(layers.silver_lazy(spark, sf), **PRESET_FILTER).select(
         "record_id", "item_type", "outlet_size", "item_fat_content", "total_sales")
 
 
 def q_filter_sales_range(spark, sf):
-    return dash.apply_filters(layers.silver(spark, sf), **PRESET_RANGE).select("record_id", "total_sales")
+    return dash.apply_filters(layers.silver_lazy(spark, sf), **PRESET_RANGE).select("record_id", "total_sales")
 
 
 def q_filter_all_options(spark, sf):
-    return dash.all_options_filter(layers.silver(spark, sf)).agg(F.count(F.lit(1)).alias("rows"))
+    return dash.all_options_filter(layers.silver_lazy(spark, sf)).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def q_sample_rows(spark, sf):
@@ -300,8 +302,9 @@ def q_gold_table_counts(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
-def _gold(spark, sf):
-    return star.build_gold_layers(layers.silver(spark, sf))
+def _gold(spark, sf, lazy: bool = False):
+    silver = layers.silver_lazy(spark, sf) if lazy else layers.silver(spark, sf)
+    return star.build_gold_layers(silver)
 
 
 def q_warehouse_load(spark, sf):
@@ -318,19 +321,19 @@ def q_warehouse_load(spark, sf):
 
 
 def q_check_pk(spark, sf):
-    return check_primary_keys(_gold(spark, sf))
+    return check_primary_keys(_gold(spark, sf, lazy=True))
 
 
 def q_check_not_null(spark, sf):
-    return check_not_null(_gold(spark, sf))
+    return check_not_null(_gold(spark, sf, lazy=True))
 
 
 def q_check_fk(spark, sf):
-    return check_foreign_keys(_gold(spark, sf))
+    return check_foreign_keys(_gold(spark, sf, lazy=True))
 
 
 def q_fact_serial_unique(spark, sf):
-    fact = with_serial_id(_gold(spark, sf)["fact_sales"])
+    fact = with_serial_id(_gold(spark, sf, lazy=True)["fact_sales"])
     return fact.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("sales_id").alias("distinct_ids"))
 
 
@@ -340,7 +343,7 @@ NULL_SIZE_YEAR = 1990
 
 def q_fact_null_keys(spark, sf):
     """Null natural key: join mode leaves a null fact key, inline resolves."""
-    s = layers.silver(spark, sf)
+    s = layers.silver_lazy(spark, sf)
     s = s.withColumn("outlet_size", F.when(F.col("outlet_establishment_year") == NULL_SIZE_YEAR,
                                            F.lit(None).cast("string")).otherwise(F.col("outlet_size")))
     g = with_event_date(s)
@@ -359,18 +362,18 @@ def q_fact_null_keys(spark, sf):
 
 def q_sales_distribution_constant(spark, sf):
     """Degenerate histogram: a constant measure (rating of the 1.5 rows)."""
-    rows = layers.silver(spark, sf).where(F.col("rating") == 1.5)
+    rows = layers.silver_lazy(spark, sf).where(F.col("rating") == 1.5)
     return dash.histogram(rows, column="rating")
 
 
 def q_sales_distribution_empty(spark, sf):
-    s = layers.silver(spark, sf)
+    s = layers.silver_lazy(spark, sf)
     return dash.histogram(s.where(F.col("total_sales") > s.agg(F.max("total_sales")).scalar()))
 
 
 def q_append_missing_columns(spark, sf):
     """Union by name where one side lacks a column (filled with null)."""
-    s = layers.silver(spark, sf).select("record_id", "outlet_size", "total_sales", "ingest_ts")
+    s = layers.silver_lazy(spark, sf).select("record_id", "outlet_size", "total_sales", "ingest_ts")
     with_date = with_event_date(s.where(F.col("outlet_size") == "Small")).drop("ingest_ts")
     without = s.where(F.col("outlet_size") != "Small").drop("ingest_ts")
     return with_date.unionByName(without, allowMissingColumns=True)
@@ -525,7 +528,7 @@ def q_onehot_unknown(spark, sf):
 
 def q_train_split(spark, sf):
     """80/20 hash split: disjoint, complete, close to 80 %."""
-    silver = layers.silver(spark, sf)
+    silver = layers.silver_lazy(spark, sf)
     train_df, test_df = split(silver)
     n_train = train_df.agg(F.count(F.lit(1))).scalar()
     n_test = test_df.agg(F.count(F.lit(1))).scalar()
@@ -609,7 +612,7 @@ def q_model_absent(spark, sf):
     missing = scratch_path(spark, "no-model")
     model = load_model(spark, f"{missing}/model")
     metrics = load_metrics(spark, f"{missing}/metrics")
-    filtered = dash.apply_filters(layers.silver(spark, sf), **PRESET_FILTER)
+    filtered = dash.apply_filters(layers.silver_lazy(spark, sf), **PRESET_FILTER)
     summary = prediction_summary(model, filtered)
     r2 = headline_with_model(filtered, metrics).select("model_r2").scalar()
     sampled = prediction_sample(model, filtered, limit=50)

@@ -90,3 +90,9 @@ def test_library_never_collects():
                 if banned.search(text):
                     offenders.append(f)
     assert offenders == []
+
+
+def test_unread_median_is_pruned(spark):
+    lazy = layers.silver_lazy(spark, SF_SMALL)
+    assert "percentile" not in plan_text(dash.chart(lazy, "sales_by_item_type"))
+    assert "percentile" in plan_text(lazy.select("item_weight"))
