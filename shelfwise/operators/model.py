@@ -58,10 +58,15 @@ def build_pipeline(num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, seed:
     encoder = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)
     assembler = VectorAssembler(inputCols=encoded + list(NUMERIC_FEATURES),
                                 outputCol="features", handleInvalid="keep")
+    # cacheNodeIds keeps each row's current node instead of re-walking every
+    # tree from the root on each level (deep trees); its lineage is cut every
+    # checkpointInterval iterations with reliable checkpoints in
+    # spark.checkpoint.dir.
     forest = RandomForestRegressor(featuresCol="features", labelCol=target,
                                    predictionCol=PREDICTION_COLUMN, numTrees=num_trees,
                                    maxDepth=max_depth, maxBins=max_bins,
-                                   featureSubsetStrategy="all", seed=seed)
+                                   featureSubsetStrategy="all", seed=seed,
+                                   cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=[indexer, encoder, assembler, forest])
 
 
