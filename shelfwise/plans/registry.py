@@ -396,12 +396,13 @@ def _parts(rows: DataFrame, n: int):
     return [rows.where(bucket == i) for i in range(n)]
 
 
-def _published(spark, sf, parts: int = 3):
-    """Publish the feed as ``parts`` appends to a fresh message folder."""
+def _published(spark, sf, files: int = 6):
+    """Publish the whole feed once, as ``files`` message files (hash of the
+    record id); ``maxFilesPerTrigger`` then turns them into several
+    micro-batches."""
     base = scratch_path(spark, "stream")
     messages = f"{base}/messages"
-    for part in _parts(_bronze_rows(spark, sf), parts):
-        publish_rows(part, messages)
+    publish_rows(_bronze_rows(spark, sf).repartition(files, "record_id"), messages)
     return base, messages
 
 
