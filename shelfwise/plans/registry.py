@@ -494,7 +494,7 @@ _MODELS: dict[str, tuple] = {}
 
 def _trained(spark, sf):
     """Fit once per (session, folder); returns (model, artifact folder)."""
-    key = f"{id(spark)}:{sf}"
+    key = f"{spark.sparkContext.applicationId}:{sf}"
     if key not in _MODELS:
         silver = with_planted_target(layers.silver(spark, sf), PLANTED)
         model, metrics = train(silver, num_trees=TEST_TREES, max_depth=TEST_DEPTH, target=PLANTED)
