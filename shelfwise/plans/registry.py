@@ -649,6 +649,21 @@ def q_warehouse_sql(spark, sf):
     return spark.sql(WAREHOUSE_SQL.format(p=prefix))
 
 
+def q_score_bounds(spark, sf):
+    """Every row is scored, and a forest's predictions (means of leaf means)
+    stay within the training target's range."""
+    model, _ = _trained(spark, sf)
+    silver = with_planted_target(layers.silver(spark, sf), PLANTED)
+    lo = silver.agg(F.min(PLANTED)).scalar()
+    hi = silver.agg(F.max(PLANTED)).scalar()
+    scored = score(model, silver)
+    p = F.col("predicted_total_sales")
+    return scored.agg(
+        (F.count(p) == F.count(F.lit(1))).alias("all_scored"),
+        F.coalesce(F.min((p >= lo - 1e-9) & (p <= hi + 1e-9)), F.lit(False)).alias("within_target_range"),
+    )
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name, *_ in dash.CHARTS:
@@ -718,5 +733,6 @@ def registry() -> dict[str, Query]:
         "stream_scoring": q_stream_scoring,
         "model_absent": q_model_absent,
         "warehouse_sql": q_warehouse_sql,
+        "score_bounds": q_score_bounds,
     })
     return q
