@@ -114,18 +114,79 @@ def chart(frame: DataFrame, name: str, round_to: int | None = 2) -> DataFrame:
     return grouped_sales(frame, key, with_mean, order, round_to)
 
 
-def chart_rollup(frame: DataFrame, round_to: int | None = 2) -> DataFrame:
+GRAIN_KEYS = [c[1] for c in CHARTS]
+
+
+def sales_grain(frame: DataFrame) -> DataFrame:
+    """One row per combination of the six chart keys, with the additive
+    measures that the charts, the roll-up, the headline numbers and the
+    histogram bounds need. Its size is bounded by the product of the key
+    cardinalities, not by the data, so one scan can serve all those panels."""
+    x = F.col("total_sales")
+    present = F.when(~is_missing(x), x)
+    return frame.groupBy(*GRAIN_KEYS).agg(
+        F.sum(x).alias("_sum"),
+        F.count(x).alias("_cnt"),
+        F.sum("rating").alias("_rating_sum"),
+        F.count("rating").alias("_rating_cnt"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.min(present).alias("_x_min"),
+        F.max(present).alias("_x_max"),
+        F.count(present).alias("_x_cnt"),
+    )
+
+
+def chart_from_grain(grain: DataFrame, name: str, round_to: int | None = 2) -> DataFrame:
+    """One chart re-aggregated from :func:`sales_grain` (same result as
+    :func:`chart` on the rows)."""
+    _, key, with_mean, order = CHART_BY_NAME[name]
+    aggs = [F.coalesce(F.sum("_sum"), F.lit(0.0)).alias("total_sales")]
+    if with_mean:
+        aggs.append(F.when(F.sum("_cnt") > 0, F.sum("_sum") / F.sum("_cnt")).alias("avg_sales"))
+    aggs.append(F.sum("_cnt").alias("count"))
+    out = grain.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    if round_to is not None:
+        out = out.select(*round_numeric(out.columns, dict(out.dtypes), round_to))
+    if order == "total_desc":
+        return out.orderBy(F.desc("total_sales"), F.asc(key))
+    return out.orderBy(F.asc(key))
+
+
+def headline_from_grain(grain: DataFrame) -> DataFrame:
+    """:func:`headline_metrics` computed from :func:`sales_grain`."""
+    rows = F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint")
+    return grain.agg(
+        rows.alias("total_records"),
+        F.when(rows == 0, F.lit(0.0))
+        .otherwise(F.when(F.sum("_cnt") > 0, F.sum("_sum") / F.sum("_cnt"))).alias("avg_sales"),
+        F.coalesce(F.sum("_sum"), F.lit(0.0)).alias("total_sales"),
+        F.when(rows == 0, F.lit(0.0))
+        .otherwise(F.when(F.sum("_rating_cnt") > 0, F.sum("_rating_sum") / F.sum("_rating_cnt")))
+        .alias("avg_rating"),
+    )
+
+
+def histogram_stats_from_grain(grain: DataFrame) -> DataFrame:
+    """(mn, mx, n) of the non-missing measure, for :func:`histogram`."""
+    return grain.agg(F.min("_x_min").alias("mn"), F.max("_x_max").alias("mx"),
+                     F.coalesce(F.sum("_x_cnt"), F.lit(0)).cast("bigint").alias("n"))
+
+
+def chart_rollup(frame: DataFrame, round_to: int | None = 2,
+                 grain: DataFrame | None = None) -> DataFrame:
     """All six charts from one scan, long form (chart, key, total, mean, count).
 
     Rows are first reduced to the six-column grain (one partial + final
     aggregation over the data), then GROUPING SETS over that small grain
     produce the six roll-ups, so the raw rows are never expanded 6×.
+    A grain already computed by :func:`sales_grain` can be passed in.
     """
-    keys = [c[1] for c in CHARTS]
-    grain = frame.groupBy(*keys).agg(
-        F.sum("total_sales").alias("_sum"),
-        F.count("total_sales").alias("_cnt"),
-    )
+    keys = GRAIN_KEYS
+    if grain is None:
+        grain = frame.groupBy(*keys).agg(
+            F.sum("total_sales").alias("_sum"),
+            F.count("total_sales").alias("_cnt"),
+        )
     rolled = grain.groupingSets([[k] for k in keys], *keys).agg(
         F.sum("_sum").alias("_sum"),
         F.sum("_cnt").alias("_cnt"),
@@ -176,7 +237,7 @@ def _hof_round_frac(x: Column, p: Column) -> Column:
 
 
 def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGRAM_BINS,
-              precision: int = LABEL_PRECISION) -> DataFrame:
+              precision: int = LABEL_PRECISION, stats: DataFrame | None = None) -> DataFrame:
     """Equal-width right-closed bins over [min, max] of ``column``.
 
     Output: ``bin`` (1-based), ``bin_start``, ``bin_end`` (labels as
@@ -184,9 +245,12 @@ def histogram(frame: DataFrame, column: str = "total_sales", bins: int = HISTOGR
     gives an empty frame. A row's bin is the number of edges strictly
     below it, computed with a ceil estimate corrected by one edge
     comparison each way (pure arithmetic, stays in generated code).
+    ``stats`` — a one-row (mn, mx, n) frame, e.g. from
+    :func:`histogram_stats_from_grain` — saves the bounds pass.
     """
     values = frame.select(F.col(column).alias("x")).where(~is_missing(F.col("x")))
-    stats = values.agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count("x").alias("n"))
+    if stats is None:
+        stats = values.agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count("x").alias("n"))
 
     def bounds(s: DataFrame) -> DataFrame:
         mn, mx = F.col("mn"), F.col("mx")

@@ -66,3 +66,24 @@ def test_csv_malformed_numbers_become_null(spark):
     got = {r["Item Identifier"]: r for r in read_csv(spark, path).collect()}
     assert got["A"]["Item Weight"] is None and got["A"]["Total Sales"] == 12.5
     assert got["B"]["Outlet Establishment Year"] is None and got["B"]["Item Visibility"] is None
+
+
+def test_shared_grain_dashboard_equals_per_panel(spark):
+    import pytest
+
+    from shelfwise.plans.dashboard import dashboard
+
+    silver = layers.silver_lazy(spark, SF_SMALL)
+    filters = {"outlet_size": ["Small", "High"], "sales_min": 1000.0}
+    shared = dashboard(silver, **filters)
+    single = dashboard(silver, share_grain=False, **filters)
+    assert set(shared) - {"grain"} == set(single)
+    for name in single:
+        if name == "metrics":
+            a, b = shared[name].first(), single[name].first()
+            assert a.total_records == b.total_records
+            for c in ("avg_sales", "total_sales", "avg_rating"):
+                assert a[c] == pytest.approx(b[c], rel=1e-12)
+            continue
+        assert _same(shared[name], single[name]), name
+    shared["grain"].unpersist()
