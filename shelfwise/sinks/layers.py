@@ -22,12 +22,25 @@ def write_csv(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
     frame.write.mode(mode).option("header", True).csv(path)
 
 
-def write_gold(gold: dict[str, DataFrame], base: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write every gold table under ``base/<name>``; returns the paths."""
-    paths = {}
-    for name, frame in gold.items():
-        paths[name] = f"{base.rstrip('/')}/{name}"
-        write_parquet(frame, paths[name], mode)
+def write_gold(gold: dict[str, DataFrame], base: str, mode: str = "overwrite",
+               concurrent: bool = True) -> dict[str, str]:
+    """Write every gold table under ``base/<name>``; returns the paths.
+
+    The tables are independent, so their write jobs are submitted
+    together (one driver thread each; Spark runs the jobs side by side),
+    which keeps the cluster busy while the small dimension writes run.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    paths = {name: f"{base.rstrip('/')}/{name}" for name in gold}
+    if not concurrent:
+        for name, frame in gold.items():
+            write_parquet(frame, paths[name], mode)
+        return paths
+    with ThreadPoolExecutor(max_workers=len(gold) or 1) as pool:
+        futures = [pool.submit(write_parquet, frame, paths[name], mode) for name, frame in gold.items()]
+        for f in futures:
+            f.result()
     return paths
 
 
