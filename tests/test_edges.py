@@ -141,3 +141,29 @@ def test_fill_empty_serves_text(spark):
     df = spark.createDataFrame([("A", None, 1.5), (None, 2, None)], "a string, b int, c double")
     rows = fill_empty(page(df, 0, 10, order_by="c")).collect()
     assert [tuple(r) for r in rows] == [("", "2", ""), ("A", "", "1.5")]
+
+
+def test_paging_bounds(spark):
+    from shelfwise.sources.files import clamp_page, page
+
+    assert clamp_page(0) == 1 and clamp_page(5000) == 1000 and clamp_page(10) == 10
+    with pytest.raises(ValueError):
+        page(spark.range(3), offset=-1, order_by="id")
+    assert [r.id for r in page(spark.range(10), offset=8, limit=5, order_by="id").collect()] == [8, 9]
+
+
+def test_lookup_counts_matches(spark):
+    from shelfwise.sources.files import lookup
+
+    df = spark.createDataFrame([("A",), ("B",), ("A",)], "`Item Identifier` string")
+    rows = lookup(df, "A").collect()
+    assert len(rows) == 2 and {r.match_count for r in rows} == {2}
+    assert lookup(df, "Z").count() == 0
+
+
+def test_message_key_falls_back_to_unknown(spark):
+    df = spark.createDataFrame([(None, 1.0), ("P1", 2.0)], "`Item Identifier` string, `Total Sales` double")
+    keys = sorted(r.key for r in messages.encode(df).collect())
+    assert keys == ["P1", "unknown"]
+    back = messages.decode(messages.encode(df)).orderBy("Total Sales").collect()
+    assert back[0]["Item Identifier"] is None and back[1]["Item Identifier"] == "P1"
