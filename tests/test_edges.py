@@ -167,3 +167,12 @@ def test_message_key_falls_back_to_unknown(spark):
     assert keys == ["P1", "unknown"]
     back = messages.decode(messages.encode(df)).orderBy("Total Sales").collect()
     assert back[0]["Item Identifier"] is None and back[1]["Item Identifier"] == "P1"
+
+
+def test_scratch_paths_live_under_the_checkpoint_dir(spark):
+    from shelfwise.session import ensure_checkpoint_dir, scratch_path
+
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir()
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(base.rstrip("/") + "/shelfwise/")
