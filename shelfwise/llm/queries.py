@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, host_rules, token_counts, url_reputation
+from shelfwise.llm import bpe, host_rules, ngram_join, token_counts, url_reputation
 from shelfwise.llm.common import documents
 from shelfwise.session import scratch_path
 
@@ -36,6 +36,12 @@ def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document: 4-word shingles, Jaccard similarity of 85 % or more."""
+    joined = ngram_join.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), size=4, percent=85)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and their decoded bytes, as digests."""
     coded = bpe.encode_documents(
@@ -65,6 +71,7 @@ def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_reputation": op3_url_reputation,
+        "op5_ngram_join": op5_ngram_join,
         "op7_byte_bpe": op7_byte_bpe,
         "op9_host_rules": op9_host_rules,
         "op10_token_cache": op10_token_cache,
