@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, host_rules, ngram_join, token_counts, url_reputation
-from shelfwise.llm.common import documents
+from shelfwise.llm import bpe, host_rules, line_dedup, ngram_join, token_counts, url_reputation
+from shelfwise.llm.common import documents, materialise, row_key
 from shelfwise.session import scratch_path
 
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,22 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document its number of lines and which of them (from 0) repeat an earlier line of the corpus."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    removed = materialise(line_dedup.removed_lines(docs), "line-removed")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    key = row_key(F.col("doc_id"), F.col("text"))
+    counted = docs.select("doc_id", key.alias("row"), n_lines.alias("n_lines"))
+    joined = counted.join(removed.withColumnRenamed("doc_id", "id"), (counted["row"] == removed["row"]) & counted["doc_id"].eqNullSafe(F.col("id")), "left")
+    return joined.select(
+        "doc_id",
+        "n_lines",
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join(F.transform("removed", lambda k: k.cast("string")), ","), F.lit("")).alias("removed_lines"),
+    )
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdicts for every document; hosts are the sources."""
     judged = host_rules.judge(documents(spark, sf_dir).select("doc_id", "source", "text"), carry=("doc_id",))
@@ -73,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_reputation": op3_url_reputation,
         "op5_ngram_join": op5_ngram_join,
         "op7_byte_bpe": op7_byte_bpe,
+        "op8_line_dedup": op8_line_dedup,
         "op9_host_rules": op9_host_rules,
         "op10_token_cache": op10_token_cache,
     }
