@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, host_rules, line_dedup, ngram_join, token_counts, url_reputation
+from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, token_counts, url_reputation
 from shelfwise.llm.common import documents, materialise, row_key
 from shelfwise.session import scratch_path
 
@@ -42,6 +42,15 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a passage of a benchmark item, with the item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.leaks(documents(spark, sf_dir).select("doc_id", "text"), benchmark)
+    return found.select(
+        "doc_id", "item_id", F.lit(True).alias("contaminated"), F.round("lcs", 4).alias("lcs"), F.round("answer", 4).alias("answer")
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and their decoded bytes, as digests."""
     coded = bpe.encode_documents(
@@ -88,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_reputation": op3_url_reputation,
         "op5_ngram_join": op5_ngram_join,
+        "op6_benchmark_leaks": op6_benchmark_leaks,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_line_dedup": op8_line_dedup,
         "op9_host_rules": op9_host_rules,
