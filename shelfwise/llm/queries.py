@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, token_counts, url_reputation
+from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, pii, token_counts, url_reputation
 from shelfwise.llm.common import documents, materialise, row_key
 from shelfwise.session import scratch_path
 
@@ -29,6 +29,24 @@ def tokenizer_file(name: str) -> bytes:
         return data.read()
 
 
+def _spans_of(kind: str) -> Column:
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+
+def op2_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, and the words that disclose it, as spans."""
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.transform("base", lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")))
+    terms = F.transform("terms", lambda x: F.concat_ws(":", F.lit(pii.TERM), x["start"].cast("string"), x["end"].cast("string")))
+    return found.select(
+        "doc_id",
+        *[_spans_of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, terms), ",").alias("spans"),
+        F.size("terms").cast("long").alias("n_terms"),
+    )
+
+
 def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url; pages are labelled by their own text's symbols."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -95,6 +113,7 @@ def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_sanitisation": op2_sanitisation,
         "op3_url_reputation": op3_url_reputation,
         "op5_ngram_join": op5_ngram_join,
         "op6_benchmark_leaks": op6_benchmark_leaks,
