@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, pii, token_counts, url_reputation
+from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, pii, pu_quality, token_counts, url_reputation
 from shelfwise.llm.common import documents, materialise, row_key
 from shelfwise.session import scratch_path
 
@@ -54,6 +54,20 @@ def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows whose labels no fit may see."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from trusted positives and unlabelled documents."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = pu_quality.fit_model(docs, labels.where((F.col("quality") == 1) & ~held_out()))
+    scored = pu_quality.score_documents(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document: 4-word shingles, Jaccard similarity of 85 % or more."""
     joined = ngram_join.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), size=4, percent=85)
@@ -115,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sanitisation": op2_sanitisation,
         "op3_url_reputation": op3_url_reputation,
+        "op4_pu_quality": op4_pu_quality,
         "op5_ngram_join": op5_ngram_join,
         "op6_benchmark_leaks": op6_benchmark_leaks,
         "op7_byte_bpe": op7_byte_bpe,
