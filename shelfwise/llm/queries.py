@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, pii, pu_quality, token_counts, url_reputation
+from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, pii, pu_quality, token_counts, toxicity, url_reputation
 from shelfwise.llm.common import documents, materialise, row_key
 from shelfwise.session import scratch_path
 
@@ -29,6 +29,16 @@ def tokenizer_file(name: str) -> bytes:
         return data.read()
 
 
+def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of the kinds of toxicity of every document, and whether it is toxic."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    kinds = materialise(toxicity.kinds_of_toxicity(docs, labels), "toxic-labels")
+    chain = toxicity.fit_chain(docs, kinds, ("insult", "contempt", "toxic"))
+    scored = toxicity.score_documents(docs, chain)
+    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 def _spans_of(kind: str) -> Column:
     return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
 
@@ -127,6 +137,7 @@ def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity_chain": op1_toxicity_chain,
         "op2_sanitisation": op2_sanitisation,
         "op3_url_reputation": op3_url_reputation,
         "op4_pu_quality": op4_pu_quality,
