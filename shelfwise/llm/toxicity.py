@@ -39,9 +39,11 @@ class Fit:
     max_docs: int = 12_000
     vocabulary: int = 512
     min_docs: int = 3
+    #: Least chi-squared value of a feature (1 degree of freedom, p = 0.00001).
+    min_chi: float = 19.5
     folds: int = 3
-    l2: float = 1.0
-    steps: int = 12
+    l2: float = 0.05
+    steps: int = 20
     seed: int = 5
 
 
@@ -69,7 +71,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, fit: Fit) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last weight is the intercept."""
+    """Ridge logistic regression with weights of 0 or more by projected Newton steps; the last weight is the intercept.
+
+    All inputs speak for the category by choice. Without the sign, chance words of
+    long harmless texts would speak against it.
+    """
     x = np.column_stack([x, np.ones(len(x), x.dtype)])
     w = np.zeros(x.shape[1])
     if not len(x):
@@ -81,14 +87,30 @@ def logistic(x: np.ndarray, y: np.ndarray, fit: Fit) -> np.ndarray:
     for _ in range(fit.steps):
         p = _sigmoid(x @ w)
         gradient = x.T @ (p - y) + ridge * w
-        hessian = (x * (p * (1 - p))[:, None].astype(x.dtype)).T @ x + np.diag(ridge)
-        step = np.linalg.solve(hessian.astype(float), gradient)
-        w -= step
-        if np.abs(step).max() < 1e-4:
+        free = (w > 0) | (gradient < 0)
+        free[-1] = True
+        part = x[:, free]
+        hessian = (part * (p * (1 - p))[:, None].astype(x.dtype)).T @ part + np.diag(ridge[free])
+        step = np.linalg.solve(hessian.astype(float), gradient[free])
+        size, risk = 1.0, _risk(x, y, w, ridge)
+        while size > 1e-4:
+            moved = w.copy()
+            moved[free] -= size * step
+            moved[:-1] = np.maximum(moved[:-1], 0)
+            if _risk(x, y, moved, ridge) < risk:
+                break
+            size /= 2
+        if size <= 1e-4 or np.abs(moved - w).max() < 1e-4:
             break
+        w = moved
     return w
 
 
+def _risk(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: np.ndarray) -> float:
+    z = x @ w
+    return float((np.logaddexp(0, z) - y * z).sum() + 0.5 * (ridge * w * w).sum())
+
+
 def train_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, fit: Fit) -> list[np.ndarray]:
     """Weights of each category; columns of ``y`` in chain order, ``fold`` of each row."""
     extra = np.zeros((len(x), 0), np.float32)
@@ -152,7 +174,10 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], f
 
 
 def _telling_words(rows: DataFrame, names: list[str], fit: Fit) -> np.ndarray:
-    """Sorted hashes of the words with the largest chi-squared value for some category."""
+    """Sorted hashes of the words with the largest chi-squared value for some category.
+
+    Only words that are more frequent in it count: all others would make long texts look harmless.
+    """
     n, *positive = rows.agg(F.count(F.lit(1)), *[F.sum(c) for c in names]).first()
     held = rows.select(F.explode("words").alias("word"), *names).groupBy("word")
     counts = held.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in names]).where(F.col("n") >= fit.min_docs)
@@ -161,8 +186,8 @@ def _telling_words(rows: DataFrame, names: list[str], fit: Fit) -> np.ndarray:
         if total and total < n:
             off = F.col(name) * F.lit(float(n)) - F.col("n") * F.lit(float(total))
             spread = F.col("n") * (F.lit(float(n)) - F.col("n") + F.lit(1e-9)) * F.lit(float(total) * (n - total))
-            chi = F.greatest(chi, off * off * F.lit(float(n)) / spread)
-    best = counts.select("word", chi.alias("chi")).orderBy(F.desc("chi"), "word").limit(fit.vocabulary)
+            chi = F.greatest(chi, F.when(off > 0, off * off * F.lit(float(n)) / spread))
+    best = counts.select("word", chi.alias("chi")).where(F.col("chi") >= fit.min_chi).orderBy(F.desc("chi"), "word").limit(fit.vocabulary)
     return np.sort(best.toArrow()["word"].to_numpy())
 
 
