@@ -32,20 +32,22 @@ hosts as (
          when len(labels) >= 3 and labels[-2] in ('ac','co','com','edu','gov','net','org') and length(labels[-1]) = 2 then array_to_string(labels[-2:], '.')
          else labels[-1] end as suffix
   from bare),
-total as (select case when sum(n) > 0 then (sum(k) + 1) / (sum(n) + 2) else 0.5 end as up from hosts),
-s0 as (select suffix, sum(n) as n, sum(k) as k from hosts group by suffix),
-s1 as (select s0.*, up from s0, total),
+total as (select coalesce(sum(n), 0) as n, coalesce(sum(k), 0) as k from hosts),
+s0 as (select suffix, sum(h.n) as n, sum(h.k) as k, any_value(t.k) + 1.0::double as a, any_value(t.n - t.k) + 1.0::double as b from hosts h, total t group by suffix),
+s1 as (select *, (a - k) / (a + b - n) as up, a + b - n as held from s0),
 s_rho as (select sum((k - n * up) * (k - n * up) - n * up * (1 - up)) / nullif(sum(n::double * (n - 1) * up * (1 - up)), 0) as rho from s1),
 s_str as (select case when rho > 0 then least(greatest(1 / rho - 1, 2), 1000) else 1000 end as m from s_rho),
-s2 as (select suffix, (m * up + k) / (m + n) as up from s1, s_str),
-d1 as (select domain, suffix, sum(n) as n, sum(k) as k, any_value(up) as up from hosts join s2 using (suffix) group by domain, suffix),
+s2 as (select s1.* exclude (a, b), least(m, held) * up + k as a, least(m, held) * (1 - up) + n - k as b from s1, s_str),
+d0 as (select domain, suffix, sum(h.n) as n, sum(h.k) as k, any_value(a) as a, any_value(b) as b from hosts h join s2 using (suffix) group by domain, suffix),
+d1 as (select *, (a - k) / (a + b - n) as up, a + b - n as held from d0),
 d_rho as (select sum((k - n * up) * (k - n * up) - n * up * (1 - up)) / nullif(sum(n::double * (n - 1) * up * (1 - up)), 0) as rho from d1),
 d_str as (select case when rho > 0 then least(greatest(1 / rho - 1, 2), 1000) else 1000 end as m from d_rho),
-d2 as (select domain, (m * up + k) / (m + n) as up from d1, d_str),
-h1 as (select host, n, k, up from hosts join d2 using (domain)),
+d2 as (select d1.* exclude (a, b), least(m, held) * up + k as a, least(m, held) * (1 - up) + n - k as b from d1, d_str),
+h0 as (select host, h.n, h.k, a, b from hosts h join d2 using (domain)),
+h1 as (select *, (a - k) / (a + b - n) as up, a + b - n as held from h0),
 h_rho as (select sum((k - n * up) * (k - n * up) - n * up * (1 - up)) / nullif(sum(n::double * (n - 1) * up * (1 - up)), 0) as rho from h1),
 h_str as (select case when rho > 0 then least(greatest(1 / rho - 1, 2), 1000) else 1000 end as m from h_rho),
-h2 as (select host, m * up + k as a, m * (1 - up) + n - k as b from h1, h_str),
+h2 as (select h1.* exclude (a, b), least(m, held) * up + k as a, least(m, held) * (1 - up) + n - k as b from h1, h_str),
 verdicts as (select host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 as blocked from h2)
 select page_id, r.host, path, nullif(split_part(coalesce(fit, ''), '>', 1), '') as rule,
   case when fit is not null then split_part(fit, '>', 2) when blocked then 'block' else 'allow' end as verdict

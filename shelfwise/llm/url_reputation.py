@@ -84,11 +84,13 @@ def host_levels(host: Column) -> tuple[Column, Column]:
 
 
 def _posterior(level: DataFrame, cfg: Reputation) -> DataFrame:
-    """Add a and b, the posterior's parameters. In: n, k and the parent's mean ``up``.
+    """Replace a and b, the parent's posterior, by the own one. In: n, k, a, b.
 
-    Strength by moments: the spread of k/n around the parents' means beyond what
-    sampling alone would give.
+    The prior is the parent's posterior without the row's own labels, which would
+    count twice otherwise, and no stronger than that. Strength by moments: the spread of k/n
+    around the priors' means beyond what sampling alone would give.
     """
+    level = level.withColumn("held", F.col("a") + F.col("b") - F.col("n")).withColumn("up", (F.col("a") - F.col("k")) / F.col("held"))
     spread = F.col("up") * (1 - F.col("up"))
     sums = level.agg(
         F.sum((F.col("k") - F.col("n") * F.col("up")) ** 2 - F.col("n") * spread).alias("excess"),
@@ -96,9 +98,9 @@ def _posterior(level: DataFrame, cfg: Reputation) -> DataFrame:
     ).first()
     rho = sums["excess"] / sums["scale"] if sums["scale"] else 0.0
     strength = min(max(1 / rho - 1, cfg.min_strength), cfg.max_strength) if rho > 0 else cfg.max_strength
-    return level.withColumn("a", F.lit(strength) * F.col("up") + F.col("k")).withColumn(
-        "b", F.lit(strength) * (1 - F.col("up")) + F.col("n") - F.col("k")
-    )
+    weight = F.least(F.lit(strength), "held")
+    own = level.withColumn("a", weight * F.col("up") + F.col("k"))
+    return own.withColumn("b", weight * (1 - F.col("up")) + F.col("n") - F.col("k")).drop("up", "held")
 
 
 def host_reputation(labelled: DataFrame, cfg: Reputation | None = None) -> DataFrame:
@@ -113,15 +115,14 @@ def host_reputation(labelled: DataFrame, cfg: Reputation | None = None) -> DataF
     )
     hosts = materialise(hosts.withColumn("domain", domain).withColumn("suffix", suffix), "url-hosts")
     total = hosts.agg(F.sum("n"), F.sum("k")).first()
-    mean = (total[1] + 1) / (total[0] + 2) if total[0] else 0.5
-    suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("up", F.lit(mean))
-    suffixes = materialise(_posterior(materialise(suffixes, "url-suffixes"), cfg), "url-suffix-rates")
-    parents = suffixes.select("suffix", (F.col("a") / (F.col("a") + F.col("b"))).alias("up"))
+    n, k = (total[0] or 0), (total[1] or 0)
+    suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    suffixes = suffixes.withColumns({"a": F.lit(k + 1.0), "b": F.lit(n - k + 1.0)})
+    suffixes = materialise(_posterior(materialise(suffixes, "url-suffixes"), cfg).select("suffix", "a", "b"), "url-suffix-rates")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    domains = materialise(materialise(domains, "url-domains").join(parents, "suffix"), "url-domain-priors")
-    domains = materialise(_posterior(domains, cfg), "url-domain-rates")
-    parents = domains.select("domain", (F.col("a") / (F.col("a") + F.col("b"))).alias("up"))
-    hosts = _posterior(materialise(hosts.join(parents, "domain"), "url-host-priors"), cfg)
+    domains = materialise(materialise(domains, "url-domains").join(suffixes, "suffix"), "url-domain-priors")
+    domains = materialise(_posterior(domains, cfg).select("domain", "a", "b"), "url-domain-rates")
+    hosts = _posterior(materialise(hosts.join(domains, "domain"), "url-host-priors"), cfg)
     a, b = F.col("a"), F.col("b")
     rate = a / (a + b)
     lower = rate - cfg.z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
