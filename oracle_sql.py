@@ -112,7 +112,7 @@ SILVER_COLS = ("item_fat_content, item_identifier, item_type, outlet_establishme
 
 
 def r2(expr: str) -> str:
-    return f"round_even({expr}, 2)"
+    return f"(round_even(({expr}) * 100.0, 0) / 100.0)"
 
 
 def chart_sql(key: str, with_mean: bool, source: str = "silver", where: str = "TRUE") -> str:
@@ -289,6 +289,16 @@ def queries_sql() -> dict[str, str]:
     # ---- sources and sinks ----
     raw_out = f"SELECT {RAW_COLS}, record_id FROM raw"
     q["csv_bronze_roundtrip"] = with_ctes(raw_out, silver=False)
+    q["csv_reordered_header"] = with_ctes(raw_out.replace("record_id", "record_id, 'x' AS extra"), silver=False)
+    q["stream_dedup_without_id"] = with_ctes(f"SELECT DISTINCT {RAW_COLS} FROM raw", silver=False)
+    q["feed_without_id_dashboard"] = with_ctes(
+        chart_sql("item_type", True).replace(" FROM silver", ", TRUE AS sampled FROM silver", 1))
+    q["nan_measures"] = with_ctes(
+        f"SELECT count(*) AS total_records, {r2('sum(sales)')} AS total_sales, "
+        "count(*) FILTER (sales >= 0) AS in_range, max(sales) AS sales_max FROM "
+        "(SELECT CASE WHEN outlet_size IS DISTINCT FROM 'Small' THEN total_sales END AS sales FROM silver)")
+    q["score_null_rows"] = with_ctes(
+        "SELECT record_id, coalesce(outlet_size = 'Small', FALSE) AS stored FROM silver")
     q["json_decode"] = with_ctes(raw_out, silver=False)
     q["publish_messages"] = with_ctes(
         f"SELECT coalesce(\"Item Identifier\", 'unknown') AS key, {RAW_COLS}, record_id FROM raw", silver=False)

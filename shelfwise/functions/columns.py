@@ -50,26 +50,37 @@ def surrogate_key(*parts: Column, null_token: str | None = None) -> Column:
     return F.sha2(F.concat_ws(KEY_SEPARATOR, *as_text), 256)
 
 
-def try_cast(c: Column, type_name: str) -> Column:
-    """Cast that gives null for malformed input even under ANSI mode."""
-    return c.try_cast(type_name)
-
-
 def is_missing(c: Column) -> Column:
     """Null or NaN — what pandas / ``fillna`` treat as missing."""
     return c.isNull() | F.isnan(c)
 
 
+def nan_to_null(c: Column) -> Column:
+    """NaN as null, so that every aggregate and comparison skips it as pandas does."""
+    return F.when(~F.isnan(c), c)
+
+
+def row_identity(names: Iterable[str]) -> Column:
+    """Hex SHA-256 of a whole row: equal in all columns, equal in identity.
+
+    Nulls are marked, so rows that differ in which field is null stay apart.
+    """
+    return surrogate_key(*[col(n) for n in names], null_token="\0")
+
+
 def round_half_even(c: Column, digits: int = 2) -> Column:
-    """pandas ``DataFrame.round`` semantics (banker's rounding)."""
-    return F.bround(c, digits)
+    """pandas ``DataFrame.round`` of doubles: scale, round to the nearest even integer, scale back."""
+    scale = F.lit(10.0**digits)
+    return F.rint(c * scale) / scale
 
 
 def round_numeric(names: Iterable[str], dtypes: dict[str, str], digits: int = 2) -> list[Column]:
     """Project every column, rounding the numeric ones half-even."""
     out = []
     for name in names:
-        if dtypes[name] in ("double", "float") or dtypes[name].startswith("decimal"):
+        if dtypes[name] in ("double", "float"):
+            out.append(round_half_even(col(name), digits).alias(name))
+        elif dtypes[name].startswith("decimal"):
             out.append(F.bround(col(name), digits).alias(name))
         else:
             out.append(col(name))

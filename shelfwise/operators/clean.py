@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import canonical_fat_content, col, is_missing
+from shelfwise.functions.columns import canonical_fat_content, col, is_missing, nan_to_null
 from shelfwise.schemas import DOUBLE_COLUMNS, INT_COLUMNS, RAW_TO_SILVER, TRIMMED_COLUMNS
 
 # ---- fixed values: relative error of the approximate weight median ----
@@ -24,7 +24,7 @@ def clean_frame(frame: DataFrame) -> DataFrame:
     """Raw/bronze → cleaned silver columns (no imputation).
 
     Missing raw columns are simply absent; unknown columns pass through
-    unchanged (open schema).
+    unchanged (open schema). NaN measures become null.
     """
     exprs: list[Column] = []
     for name in frame.columns:
@@ -35,7 +35,7 @@ def clean_frame(frame: DataFrame) -> DataFrame:
         if target == "item_fat_content":
             c = canonical_fat_content(c)
         if target in DOUBLE_COLUMNS:
-            c = c.try_cast("double")
+            c = nan_to_null(c.try_cast("double"))
         elif target in INT_COLUMNS:
             c = c.try_cast("int")
         exprs.append(c.alias(target))

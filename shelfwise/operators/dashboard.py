@@ -399,15 +399,17 @@ def dataset_summary(frame: DataFrame) -> DataFrame:
 def filter_options(frame: DataFrame) -> DataFrame:
     """Distinct non-null values of the five filter dimensions, long form.
 
-    One scan: each row is unpivoted to five (column, value) pairs, then a
-    single distinct (partial aggregation first). Safe on high cardinality.
+    One scan: the rows are reduced to the distinct combinations of the five
+    (partial aggregation first), and only those are unpivoted.
     """
     pairs = F.explode(F.array(*[
         F.struct(F.lit(d).alias("filter_column"), F.col(d).cast("string").alias("value"))
         for d in FILTER_DIMENSIONS
     ])).alias("p")
     return (
-        frame.select(pairs)
+        frame.select(*FILTER_DIMENSIONS)
+        .distinct()
+        .select(pairs)
         .select("p.filter_column", "p.value")
         .where(F.col("value").isNotNull())
         .distinct()

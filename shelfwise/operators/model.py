@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.functions.columns import is_missing
 from shelfwise.schemas import (
     CATEGORICAL_FEATURES,
     FEATURE_COLUMNS,
@@ -23,6 +24,7 @@ from shelfwise.schemas import (
     RECORD_ID,
     TARGET_COLUMN,
 )
+from shelfwise.sources.files import path_exists, with_record_id
 
 # ---- fixed values: forest size, seed, split and metric names ----
 NUM_TREES = 200
@@ -35,7 +37,7 @@ METRICS_SCHEMA = T.StructType([T.StructField(m, T.DoubleType()) for m in METRIC_
 
 def training_frame(silver: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:
     """Feature and target columns; rows with a null target dropped."""
-    return silver.select(*FEATURE_COLUMNS, target).where(F.col(target).isNotNull())
+    return silver.select(*FEATURE_COLUMNS, target).where(~is_missing(F.col(target).cast("double")))
 
 
 def split(frame: DataFrame, train_pct: int = TRAIN_PCT, seed: int = SEED,
@@ -80,15 +82,20 @@ def evaluate(scored: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:
         F.var_pop(target).alias("_var"),
         F.count(F.lit(1)).alias("_n"),
     )
-    r2 = F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("_n"))
+    total = F.col("_var") * F.col("_n")
+    # Against a constant target: 1.0 without any error, else 0.0.
+    flat = F.when(F.col("_sse") == 0, F.lit(1.0)).when(F.col("_sse") > 0, F.lit(0.0))
+    r2 = F.when(total > 0, F.lit(1.0) - F.col("_sse") / F.nullif(total, F.lit(0.0))).otherwise(flat)
     return stats.select("mae", "rmse", r2.alias("r2"))
 
 
 def train(silver: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED,
           target: str = TARGET_COLUMN) -> tuple[PipelineModel, DataFrame]:
     """Fit on 80 % and return (model, one-row metrics frame on the 20 %)."""
-    data = silver.select(*FEATURE_COLUMNS, target, RECORD_ID).where(F.col(target).isNotNull())
+    data = with_record_id(silver).select(*FEATURE_COLUMNS, target, RECORD_ID).where(~is_missing(F.col(target).cast("double")))
     train_df, test_df = split(data, seed=seed)
+    # Each fit pass works on the persisted rows: deal them out evenly, whatever the files' layout.
+    train_df = train_df.repartition(RECORD_ID)
     # The fit makes several passes (indexing, split finding, binning);
     # keep the training rows in executor memory/disk for them. A lost
     # executor's blocks are recomputed from lineage.
@@ -118,11 +125,10 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
-    """The saved model, or None when none has been trained yet."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable model means "no model"
+    """The saved model, or None when there is none at ``path``; any other failure is raised."""
+    if not path_exists(spark, f"{path.rstrip('/')}/metadata"):
         return None
+    return PipelineModel.load(path)
 
 
 def save_metrics(metrics: DataFrame, path: str) -> None:
@@ -131,10 +137,9 @@ def save_metrics(metrics: DataFrame, path: str) -> None:
 
 def load_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Metrics as one row; an empty frame (the ``{}`` document) if absent."""
-    try:
-        return spark.read.schema(METRICS_SCHEMA).json(path)
-    except Exception:  # noqa: BLE001
+    if not path_exists(spark, path):
         return spark.createDataFrame([], METRICS_SCHEMA)
+    return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
 def score(model: PipelineModel | None, frame: DataFrame) -> DataFrame:
@@ -146,8 +151,12 @@ def score(model: PipelineModel | None, frame: DataFrame) -> DataFrame:
 
 
 def score_if_missing(model: PipelineModel | None, frame: DataFrame) -> DataFrame:
-    """Score only when no prediction column exists yet (no re-scoring)."""
-    if PREDICTION_COLUMN in frame.columns:
+    """Score the rows that have no prediction yet; stored predictions stay."""
+    if PREDICTION_COLUMN not in frame.columns:
+        return score(model, frame)
+    if model is None:
         return frame
-    return score(model, frame)
+    stored = "_stored_prediction"
+    scored = score(model, frame.withColumnRenamed(PREDICTION_COLUMN, stored))
+    return scored.withColumn(PREDICTION_COLUMN, F.coalesce(stored, PREDICTION_COLUMN)).select(*frame.columns)
 

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.functions.columns import round_half_even
 from shelfwise.operators import dashboard as dash
 from shelfwise.operators import star
-from shelfwise.operators.clean import impute_weight, median_of, with_event_date
+from shelfwise.operators.clean import clean_frame, impute_weight, median_of, with_event_date
 from shelfwise.operators.constraints import (
     check_foreign_keys,
     check_not_null,
@@ -42,7 +43,7 @@ from shelfwise.operators.model import (
 )
 from shelfwise.plans import layers
 from shelfwise.plans.batch import gold_tables, run_batch
-from shelfwise.plans.dashboard import prediction_sample, prediction_summary
+from shelfwise.plans.dashboard import dashboard, prediction_sample, prediction_summary
 from shelfwise.plans.star_queries import sales_by_dim_attributes
 from shelfwise.plans.stream import bronze_path, publish_rows, run_bronze, run_stream
 from shelfwise.schemas import RAW_SCHEMA
@@ -169,7 +170,7 @@ def q_sales_distribution(spark, sf):
 
 def _rounded_metrics(frame: DataFrame) -> DataFrame:
     m = dash.headline_metrics(frame)
-    return m.select("total_records", *[F.bround(c, 2).alias(c)
+    return m.select("total_records", *[round_half_even(F.col(c)).alias(c)
                                        for c in ("avg_sales", "total_sales", "avg_rating")])
 
 
@@ -185,8 +186,8 @@ def q_headline_metrics_empty(spark, sf):
 
 def q_summary(spark, sf):
     s = dash.dataset_summary(layers.silver_lazy(spark, sf).select(*SILVER_OUT))
-    return s.select("rows", "columns", F.bround("total_sales_mean", 2).alias("total_sales_mean"),
-                    F.bround("total_sales_sum", 2).alias("total_sales_sum"))
+    return s.select("rows", "columns", round_half_even(F.col("total_sales_mean")).alias("total_sales_mean"),
+                    round_half_even(F.col("total_sales_sum")).alias("total_sales_sum"))
 
 
 def q_filter_options(spark, sf):
@@ -371,6 +372,56 @@ def q_sales_distribution_empty(spark, sf):
     return dash.histogram(s.where(F.col("total_sales") > s.agg(F.max("total_sales")).scalar()))
 
 
+def q_feed_without_id_dashboard(spark, sf):
+    """The 12-column feed through CSV, batch build and a dashboard request: grouped sales of its item types."""
+    raw = layers.bronze(spark, sf).select(*[F.col(f"`{c.name}`") for c in RAW_SCHEMA.fields])
+    folder = scratch_path(spark, "feed-without-id")
+    raw.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/csv")
+    built = run_batch(spark, read_csv(spark, f"{folder}/csv"), folder)
+    panels = dashboard(spark.read.parquet(built.silver), share_grain=False)
+    sampled = panels["sample_rows"].agg(F.count("record_id")).scalar()
+    return panels["sales_by_item_type"].select("*", (sampled == 50).alias("sampled"))
+
+
+def q_stream_dedup_without_id(spark, sf):
+    """Twelve-column messages published twice: each distinct record once."""
+    raw = layers.bronze(spark, sf).select(*[F.col(f"`{c.name}`") for c in RAW_SCHEMA.fields])
+    folder = scratch_path(spark, "dedup-without-id")
+    for _ in range(2):
+        publish_rows(raw, f"{folder}/messages", extra=())
+    path = run_bronze(spark, f"{folder}/messages", folder, dedup=True, dedup_delay="1 day")
+    return spark.read.parquet(path).select(*_raw_cols())
+
+
+def q_nan_measures(spark, sf):
+    """NaN among the sales is no value: sums, bounds and the range filter skip it."""
+    raw = layers.bronze(spark, sf).withColumn(
+        "Total Sales", F.when(F.col("`Outlet Size`") == "Small", F.lit(float("nan"))).otherwise(F.col("`Total Sales`")))
+    s = clean_frame(raw)
+    kept = dash.apply_filters(s, sales_min=0.0).agg(F.count(F.lit(1))).scalar()
+    bounds = dash.sales_bounds(s)
+    return dash.headline_metrics(s).select("total_records", round_half_even(F.col("total_sales")).alias("total_sales"),
+                                           kept.alias("in_range"), bounds.select("sales_max").scalar().alias("sales_max"))
+
+
+def q_csv_reordered_header(spark, sf):
+    """A CSV whose columns come in another order, with one more: read by header name."""
+    raw = layers.bronze(spark, sf)
+    path = scratch_path(spark, "csv-reordered")
+    names = [c.name for c in reversed(RAW_SCHEMA.fields)]
+    raw.select(F.lit("x").alias("Extra"), *[F.col(f"`{c}`") for c in names], "record_id").write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_csv(spark, path, stamp=False).select(*_raw_cols(), "record_id", F.col("Extra").alias("extra"))
+
+
+def q_score_null_rows(spark, sf):
+    """Stored predictions stay, missing ones are scored: every row has one, and the stored ones are unchanged."""
+    model, _ = _trained(spark, sf)
+    stored = F.when(F.col("outlet_size") == "Small", F.lit(-1.0))
+    rows = score_if_missing(model, layers.silver(spark, sf).withColumn("predicted_total_sales", stored))
+    return rows.select("record_id", (F.col("predicted_total_sales") == -1.0).alias("stored"))
+
+
 def q_append_missing_columns(spark, sf):
     """Union by name where one side lacks a column (filled with null)."""
     s = layers.silver_lazy(spark, sf).select("record_id", "outlet_size", "total_sales", "ingest_ts")
@@ -629,7 +680,7 @@ def q_model_absent(spark, sf):
 # Star-schema SQL as a warehouse user writes it (views over the loaded tables).
 WAREHOUSE_SQL = """
 SELECT i.item_type, o.outlet_type, YEAR(d.event_date) AS sales_year,
-       bround(SUM(f.total_sales), 2) AS total_sales, COUNT(*) AS sales_rows
+       rint(SUM(f.total_sales) * 100) / 100 AS total_sales, COUNT(*) AS sales_rows
 FROM {p}fact_sales f
 JOIN {p}dim_item i ON f.item_key = i.item_key
 JOIN {p}dim_outlet o ON f.outlet_key = o.outlet_key
@@ -715,6 +766,11 @@ def registry() -> dict[str, Query]:
         "sales_distribution_constant": q_sales_distribution_constant,
         "sales_distribution_empty": q_sales_distribution_empty,
         "append_missing_columns": q_append_missing_columns,
+        "feed_without_id_dashboard": q_feed_without_id_dashboard,
+        "stream_dedup_without_id": q_stream_dedup_without_id,
+        "nan_measures": q_nan_measures,
+        "csv_reordered_header": q_csv_reordered_header,
+        "score_null_rows": q_score_null_rows,
         "stream_bronze": q_stream_bronze,
         "stream_silver": q_stream_silver,
         "stream_gold_equals_batch": q_stream_gold_equals_batch,

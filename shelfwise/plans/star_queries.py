@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.columns import round_half_even
 from shelfwise.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 
@@ -32,5 +33,5 @@ def sales_by_dim_attributes(fact: DataFrame, dim: DataFrame, key: str, attribute
         F.sum("_sum").alias("total_sales"), F.sum("_cnt").alias("count")
     )
     if round_to is not None:
-        out = out.withColumn("total_sales", F.bround("total_sales", round_to))
+        out = out.withColumn("total_sales", round_half_even(F.col("total_sales"), round_to))
     return out
