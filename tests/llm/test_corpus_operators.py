@@ -159,6 +159,30 @@ def test_line_groups_equal_brute_force(spark):
         assert texts[k] == "\n".join(x for n, x in enumerate(text.split("\n")) if n not in got.get(k, []))
 
 
+def test_edited_lines_are_found(spark):
+    """Recall against edit similarity alone, by length and share of changed words."""
+    rng = random.Random(12)
+    vocabulary = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(4000)]
+    words = lambda n: [vocabulary[int(4000 ** rng.random()) - 1] for _ in range(n)]
+    rows, kinds = [], defaultdict(list)
+    for size in (5, 8, 10, 14, 20, 30, 50, 90, 180):
+        for share in (0.1, 0.2):
+            for _ in range(60):
+                line = words(size)
+                other = list(line)
+                for at in rng.sample(range(size), max(1, int(size * share))):
+                    other[at] = rng.choice(vocabulary)
+                k = len(rows)
+                rows += [(k, " ".join(line)), (k + 1, " ".join(other))]
+                if 5 * levenshtein(line, other) <= size and line != other:
+                    kinds[size, share].append(k + 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"] for r in line_dedup.removed_lines(docs).collect()}
+    recall = {kind: np.mean([k in got for k in pairs]) for kind, pairs in kinds.items()}
+    print(recall)
+    assert min(recall.values()) >= 0.8 and np.mean(list(recall.values())) >= 0.95
+
+
 def test_large_blocks_lose_no_link(monkeypatch):
     monkeypatch.setattr(line_dedup, "SMALL_RUN", 2)
     rng = np.random.default_rng(2)
