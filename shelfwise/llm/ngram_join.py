@@ -294,9 +294,10 @@ def similar_classes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row, n_shingles, class, component_id) for every row of ``docs``.
+    """(doc_id, row, n_shingles, class, component, component_id) for every row of ``docs``.
 
-    ``component_id`` is the smallest doc_id that links reach, itself included. ``row`` is
+    ``component_id`` is the smallest doc_id that links reach, itself included, and ``component`` tells
+    components apart where it is null. ``row`` is
     ``common.row_key`` of the id and the text, to join back to ``docs``.
     """
     signed = materialise(signatures(docs, size, percent, doc_id, text), "join-signatures")
@@ -308,7 +309,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
         lowest.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class")), "join-classes"
     )
     lowest = group.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    of_class = materialise(group.join(lowest, "component").select("class", "component_id"), "join-ids")
+    of_class = materialise(group.join(lowest, "component").select("class", "component", "component_id"), "join-ids")
     own = F.when(F.col("n") > 0, F.col("class"))
     return (
         signed.select("doc_id", "row", F.col("n").alias("n_shingles"), own.alias("class"))

@@ -334,6 +334,22 @@ def test_pipeline_equals_its_parts(spark):
     assert all(r["round_trip"] and r["n_chars"] == len(r["text"]) for r in rows)
 
 
+def test_one_row_of_each_group_stays(spark):
+    body = [f"w{k}" for k in range(60)]
+    near = " ".join([*body, "more"])
+    lone, other = (" ".join(f"{c}{k}" for k in range(30)) for c in "no")
+    rows = [(1, " ".join(body)), (1, " ".join(body)), (1, near), (2, near), (None, near)]
+    rows += [(None, lone), (None, lone), (None, lone + " end"), (9, other), (8, ""), (8, ""), (None, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()]
+    by_id = defaultdict(list)
+    for k, text in out:
+        by_id[k].append(text)
+    assert len(by_id[1]) == 1 and by_id[1][0] in (" ".join(body), near) and by_id[2] == []
+    assert by_id[9] == [other] and by_id[8] == ["", ""]
+    assert len(by_id[None]) == 2 and None in by_id[None] and len(out) == 6
+
+
 def test_stages_take_edge_cases(spark, edge_docs, no_docs):
     for docs in (edge_docs.select(*corpus_pipeline.COLUMNS), no_docs):
         for name, stage in corpus_pipeline.STAGES:
