@@ -94,5 +94,123 @@ from judged join verdicts using (host)
 """
 
 
+_OP11_START = """
+kept as materialized (
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+c0 as materialized (
+  select row_number() over (order by sha256('3:' || coalesce(vec_id::varchar, '')), v) - 1 as c, v
+  from kept qualify c < 8)"""
+
+
+def _op11_assign(r: int) -> str:
+    return f"""
+a{r} as materialized (
+  select rid, any_value(vec_id) as vec_id, any_value(k.v) as v,
+    min(list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))::hugeint * 8 + c.c) as best
+  from kept k, c{r} c group by rid)"""
+
+
+def _op11_move(r: int) -> str:
+    return f"""
+m{r} as (
+  select best % 8 as c, i, sum(v[i]) as s, count(*) as n
+  from (select best, v, unnest(range(1, 65)) as i from a{r}) group by all),
+l{r} as (select c, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as v from m{r} group by c),
+c{r + 1} as materialized (select c{r}.c, coalesce(l{r}.v, c{r}.v) as v from c{r} left join l{r} on l{r}.c = c{r}.c)"""
+
+
+OP11_CENTROID_CLUSTERING = (
+    f"with {_OP11_START}, "
+    + ", ".join(_op11_assign(r) + ", " + _op11_move(r) for r in range(10))
+    + f", {_op11_assign(10)}"
+    + """,
+found as (select vec_id, (best % 8)::int as cluster, (best // 8)::bigint as distance from a10)
+select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia,
+  (sum(distance) over ())::bigint as inertia, sha256(array_to_string(c10.v, ',')) as centroid_sha256
+from found join c10 on c10.c = cluster
+"""
+)
+
+OP12_CONVERSATION_TRIE = r"""
+with t as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, md5(length(role) || ':' || role || ':' || text)) as r,
+    md5(length(role) || ':' || role || ':' || text) as digest, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)),
+c as (
+  select conv_id, conv_id - conv_id % 20 as base,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, z: xor(x >> 1, (x & 1) * 3988292384::bigint))), 4294967295) % 4 as h
+  from (select distinct conv_id from t)),
+heads as (select c.conv_id, r, digest, words from c join t on t.conv_id = base and r <= h),
+rebuilt as (
+  select conv_id, r as pos, digest, words from heads
+  union all
+  select c.conv_id, r - h + coalesce(m, 0), digest, words from t join c using (conv_id)
+    left join (select conv_id, count(*) as m from heads group by 1) using (conv_id) where r > h),
+whole as (
+  select conv_id, coalesce(len(d), 0) as n, coalesce(d, []) as d, coalesce(w, []) as w
+  from c left join (select conv_id, list(digest order by pos) as d, list(words order by pos) as w from rebuilt group by 1) using (conv_id)),
+p as materialized (
+  select conv_id, n, depth, md5(array_to_string(d[1:depth], ',')) as key, case when depth > 0 then w[depth] else 0 end as words
+  from (select *, unnest(range(0, n + 1)) as depth from whole)),
+nodes as materialized (
+  select depth, key, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth), '')) as ends_sha256
+  from p group by depth, key),
+parents as materialized (
+  select c.depth, c.key, u.conv_id as parent_conv_id, u.key as up
+  from nodes c join p on p.conv_id = c.conv_id and p.depth = c.depth - 1 join nodes u on u.depth = p.depth and u.key = p.key),
+kids as materialized (select depth - 1 as depth, up as key, count(*) as n_children from parents group by all),
+below as (
+  select p.depth, p.key, sum((u.n_convs - 1) * u.words) as saved, count(*) filter (k.n_children is null) as leaves
+  from nodes u left join kids k on k.depth = u.depth and k.key = u.key
+    join p on p.conv_id = u.conv_id and p.depth <= u.depth group by all)
+select v.conv_id, v.depth::bigint as depth, parent_conv_id, n_convs, coalesce(n_children, 0) as n_children,
+  leaves as n_leaves, saved::bigint as saved_tokens, ends_sha256
+from nodes v join below b on b.depth = v.depth and b.key = v.key
+  left join kids k on k.depth = v.depth and k.key = v.key
+  left join parents u on u.depth = v.depth and u.key = v.key
+"""
+
+OP13_SOURCE_MIX = r"""
+with d as materialized (
+  select row_number() over () as rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    md5('13:' || coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')) as shuffled
+  from documents),
+s as (
+  select source, sum(size)::bigint as source_size, 3 * sum(size)::double as cap, row_number() over (order by source nulls last) as place
+  from d group by source),
+w as (select *, (place - 1) % 3 + 1 as weight from s),
+l as (
+  select *, (select sum(source_size)::double from s) - coalesce(sum(cap) over before, 0) as rest,
+    (select sum(weight) from w) - coalesce(sum(weight) over before, 0) as open_
+  from w window before as (order by cap / weight, place rows between unbounded preceding and 1 preceding)),
+level as (select rest, open_ from l where cap / weight * open_ >= rest order by cap / weight, place limit 1),
+targets as materialized (
+  select source, source_size, place, least(cap, coalesce((select rest from level) * weight / (select open_ from level), cap))::double as target from w),
+queue as (
+  select rid, size, place, source_size, target, shuffled,
+    sum(size) over (partition by place order by shuffled, rid) as upto
+  from d join targets t on t.source is not distinct from d.source where size > 0),
+copies as (
+  select rid, size, place, epoch, shuffled, ((epoch - 1) * source_size + upto) / target as finish
+  from queue, (select unnest([1, 2, 3]) as epoch) where (epoch - 1) * source_size + upto - size < target),
+served as (
+  select rid, size, sum(size) over (order by finish, place, epoch, shuffled, rid rows between unbounded preceding and current row) as spent from copies),
+taken as (select rid, sum(size)::bigint as words from served where spent <= (select sum(source_size) from s) group by rid)
+select doc_id, size, source_size, target, coalesce(words, 0) as taken
+from d join targets t on t.source is not distinct from d.source left join taken using (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_reputation": OP3_URL_REPUTATION, "op9_host_rules": OP9_HOST_RULES}
+    return {
+        "op3_url_reputation": OP3_URL_REPUTATION,
+        "op9_host_rules": OP9_HOST_RULES,
+        "op11_centroid_clustering": OP11_CENTROID_CLUSTERING,
+        "op12_conversation_trie": OP12_CONVERSATION_TRIE,
+        "op13_source_mix": OP13_SOURCE_MIX,
+    }

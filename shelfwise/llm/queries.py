@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, decontaminate, host_rules, line_dedup, ngram_join, pii, pu_quality, token_counts, toxicity, url_reputation
+from shelfwise.llm import (
+    bpe,
+    centroids,
+    conversation_trie,
+    decontaminate,
+    host_rules,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pii,
+    pu_quality,
+    token_counts,
+    toxicity,
+    url_reputation,
+)
 from shelfwise.llm.common import documents, materialise, row_key
 from shelfwise.session import scratch_path
 
@@ -135,6 +149,23 @@ def op10_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and squared distance of every vector after ten rounds over eight centroids."""
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix that rebuilt conversations share or end with, as a node of their trie."""
+    turns = conversation_trie.ranked(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    convs, rebuilt = conversation_trie.rebuild(turns)
+    return conversation_trie.prefix_trie(convs, rebuilt)
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of sources takes of every document, repeats included."""
+    return mixing.mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity_chain": op1_toxicity_chain,
@@ -147,4 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_host_rules": op9_host_rules,
         "op10_token_cache": op10_token_cache,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_conversation_trie": op12_conversation_trie,
+        "op13_source_mix": op13_source_mix,
     }
