@@ -1,69 +1,129 @@
-"""Exact median at any volume, by bracket refinement.
+"""Medians at any volume: exact by radix selection, approximate by a mergeable sketch.
 
 Spark's exact ``median`` merges one count per distinct value in a single
-task, which is unbounded for a continuous measure. Here:
-
-1. one pass gets the count, an approximate distinct count and two
-   approximate quantiles that provably bracket the middle ranks
-   (rank error of ``percentile_approx`` ≤ m / accuracy);
-2. while the bracket still holds too many distinct values, one pass
-   counts the rows below / inside it and the next pass narrows it again
-   (each round shrinks it by roughly accuracy / 4);
-3. once it holds at most ``final_values`` distinct values, they are
-   reduced to (value, count) pairs — a hot value that holds a third of
-   all rows is one pair — and ranked in a single bounded step.
-
-The loop runs over a handful of scalars on the driver, never over rows.
-The result equals ``quantile_cont(0.5)``: the mean of the two middle
-values for an even count, ``lo + (hi - lo) * 0.5``.
+task, which is unbounded for a continuous measure. ``exact_median`` maps
+each double to a 64-bit integer of the same order and fixes the two
+middle values' bits ``DIGIT_BITS`` at a time: a pass counts the values
+under the bits known so far by their next digit (two prefixes of
+2**DIGIT_BITS digits at most, pre-aggregated in every task) and picks the digits
+that hold the middle ranks. There are ``PASSES`` passes over one written column
+whatever the values: no sort, no window, no sample. A hot value is one
+count per task.
+
+``median_sketch`` is a KLL sketch of a column (a few KB however many
+rows), which can be stored per build or micro-batch and merged later.
+The exact result equals ``quantile_cont(0.5)``: ``lo + (hi - lo) * 0.5``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import struct
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import is_missing
+from shelfwise.session import scratch_path
+
+DIGIT_BITS = 16
+PASSES = 64 // DIGIT_BITS
+#: Sketch size; its rank error is about 0.7 %.
+SKETCH_K = 400
+
+
+def with_ordered_bits(values: DataFrame, column: str = "x", bits: str = "v") -> DataFrame:
+    """Add a long of the same order as the double ``column``: its IEEE bits, negated for negative values (-0.0 is 0).
+
+    Spark has no function for a double's bits, so they are computed: multiplying by powers of two is
+    exact. Each step is a projection of its own, as one expression would compute its parts many times over.
+    """
+    x, size, e = F.col(column), F.col("size_"), F.col("e_")
+    power = lambda n: F.pow(F.lit(2.0), n)
+    step = values.withColumn("size_", F.abs(x))
+    step = step.withColumn("guess_", F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)))
+    step = step.withColumn("near_", power(F.col("guess_")))
+    step = step.withColumn("e_", F.col("guess_") + F.when(size < F.col("near_"), -1).when(size / 2 >= F.col("near_"), 1).otherwise(0))
+    # 2**(52 - e) itself overflows for small values: scale in two steps.
+    fraction = F.when(e < -400, size * F.lit(2.0**600) * power(-548 - e)).otherwise(size * power(52 - e))
+    step = step.withColumn("fraction_", F.when(size < F.lit(2.0**-1022), size * F.lit(2.0**537) * F.lit(2.0**537)).otherwise(fraction))
+    whole = F.col("fraction_").cast("long") + F.when(size < F.lit(2.0**-1022), 0).otherwise((e + 1022) * F.lit(1 << 52))
+    step = step.withColumn("bits_", F.when(size == float("inf"), F.lit(2047 << 52)).otherwise(whole))
+    step = step.withColumn(bits, F.when(x < 0, -F.col("bits_")).otherwise(F.col("bits_")).cast("long"))
+    return step.drop("size_", "guess_", "near_", "e_", "fraction_", "bits_")
+
+
+def from_ordered_bits(bits: int) -> float:
+    value = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -value if bits < 0 else value
+
 
-DEFAULT_ACCURACY = 10_000
-DEFAULT_FINAL_VALUES = 1_000_000
+def _digit_of_rank(counts: Column, prefix: Column, rank: Column) -> Column:
+    """The digit under ``prefix`` that holds the value of ``rank``, and the rank among that digit's values."""
+    none = F.lit(None).cast("long")
+    start = F.struct(none.alias("digit"), rank.cast("long").alias("rank"))
 
+    def step(found: Column, x: Column) -> Column:
+        inside = prefix.isNull() | (F.shiftright(x["d"], DIGIT_BITS) == prefix)
+        hit = found["rank"] < x["n"]
+        return (
+            F.when(found["digit"].isNotNull() | ~inside, found)
+            .when(hit, F.struct(x["d"].alias("digit"), found["rank"].alias("rank")))
+            .otherwise(F.struct(none.alias("digit"), (found["rank"] - x["n"]).alias("rank")))
+        )
 
-def exact_median(frame: DataFrame, column: str, final_values: int = DEFAULT_FINAL_VALUES,
-                 accuracy: int = DEFAULT_ACCURACY) -> float | None:
-    """Exact median of ``column`` (null/NaN ignored); None when no values."""
-    x = F.col("x")
-    vals = frame.select(F.col(column).cast("double").alias("x")).where(~is_missing(F.col("x")))
-    first = vals.agg(F.count("x").alias("n"), F.approx_count_distinct("x", 0.05).alias("d")).first()
-    n, d = first["n"], first["d"]
-    if n == 0:
+    return F.aggregate(counts, start, step)
+
+
+def _pass(values: DataFrame, shift: int, low: tuple | None, high: tuple | None) -> tuple[tuple, tuple] | None:
+    """One pass over ``values``: the next digits of the two middle values, with their ranks below those digits.
+
+    ``low`` and ``high`` are the (bits, rank) known so far, None before the first pass. The counts are one
+    row of at most 2 * 2**DIGIT_BITS pairs, and the driver reads four numbers of it.
+    """
+    if low is not None:
+        values = values.where(F.shiftright("v", shift + DIGIT_BITS).isin(*{low[0], high[0]}))
+    digits = values.groupBy(F.shiftright("v", shift).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    counts = digits.agg(F.sort_array(F.collect_list(F.struct("d", "n"))).alias("a"), F.sum("n").alias("total"))
+    a, total, none = F.col("a"), F.col("total"), F.lit(None).cast("long")
+    ranks = [F.floor((total - 1) / 2), F.floor(total / 2)] if low is None else [F.lit(low[1]), F.lit(high[1])]
+    known = [none, none] if low is None else [F.lit(low[0]), F.lit(high[0])]
+    found = counts.select(*[_digit_of_rank(a, k, r).alias(name) for name, k, r in zip(("low", "high"), known, ranks, strict=True)], "total").first()
+    if not found["total"]:
         return None
-    k1, k2 = (n - 1) // 2, n // 2          # 0-based ranks of the middle values
-    sub, below, m = vals, 0, n
-    margin = 2.0 / accuracy
-    while d > final_values // 2:
-        p1 = max((k1 - below) / m - margin, 0.0)
-        p2 = min((k2 - below) / m + margin, 1.0)
-        q = sub.agg(F.percentile_approx("x", [p1, p2], accuracy).alias("q")).first()["q"]
-        lo, hi = float(q[0]), float(q[1])
-        if lo == hi:
-            return lo  # every rank between the bracket ends holds this value
-        c = sub.agg(
-            F.count(F.when(x < lo, 1)).alias("below"),
-            F.count(F.when((x >= lo) & (x <= hi), 1)).alias("inside"),
-            F.approx_count_distinct(F.when((x >= lo) & (x <= hi), x), 0.05).alias("d"),
-        ).first()
-        if c["inside"] >= m:
-            break  # no progress (ties at both bracket ends): rank what is left
-        below, m, d = below + c["below"], c["inside"], c["d"]
-        sub = sub.where((x >= lo) & (x <= hi))
-    # Bounded final step: ≤ final_values (value, count) pairs, ranked once.
-    pairs = sub.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = pairs.withColumn("last", F.sum("c").over(w) - 1 + F.lit(below)) \
-                  .withColumn("first", F.col("last") - F.col("c") + 1)
-    picked = ranked.where(
-        ((F.col("first") <= k1) & (F.col("last") >= k1)) | ((F.col("first") <= k2) & (F.col("last") >= k2))
-    ).agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    lo, hi = picked["lo"], picked["hi"]
+    return tuple(found["low"]), tuple(found["high"])
+
+
+def exact_median(frame: DataFrame, column: str) -> float | None:
+    """Exact median of ``column`` (null/NaN ignored); None when there are no values."""
+    spark = frame.sparkSession
+    x = F.col(column).cast("double")
+    path = scratch_path(spark, "median")
+    present = frame.select(x.alias("x")).where(~is_missing(F.col("x")))
+    with_ordered_bits(present).select("v").write.parquet(path)
+    values = spark.read.schema("v long").parquet(path)
+    low = high = None
+    for step in range(PASSES):
+        found = _pass(values, 64 - DIGIT_BITS * (step + 1), low, high)
+        if found is None:
+            return None
+        low, high = found
+    lo, hi = from_ordered_bits(low[0]), from_ordered_bits(high[0])
     return lo + (hi - lo) * 0.5
+
+
+def median_sketch(frame: DataFrame, column: str) -> DataFrame:
+    """One row: ``sketch`` (KLL, binary; null without values) and ``n``, over the present values of ``column``."""
+    present = F.when(~is_missing(F.col(column)), F.col(column).cast("double"))
+    return frame.agg(
+        F.when(F.count(present) > 0, F.kll_sketch_agg_double(present, F.lit(SKETCH_K))).alias("sketch"), F.count(present).alias("n")
+    )
+
+
+def merged_median(sketches: DataFrame) -> DataFrame:
+    """One row: ``median`` of the merged sketches (null without values) and ``n``."""
+    some = sketches.where("sketch is not null")
+    merged = F.kll_merge_agg_double("sketch", F.lit(SKETCH_K))
+    return some.agg(F.sum("n").alias("n"), merged.alias("sketch")).select(
+        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5))).alias("median"),
+        F.coalesce("n", F.lit(0).cast("long")).alias("n"),
+    )

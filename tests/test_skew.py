@@ -72,5 +72,5 @@ def test_rollup_and_median_under_skew(skewed):
     want = dict(duck(path, "SELECT item_type, count(total_sales) FROM s GROUP BY 1"))
     assert got == want
     want_median = duck(path, "SELECT median(total_sales)::DOUBLE FROM s")[0][0]
-    assert exact_median(frame, "total_sales", final_values=2_000, accuracy=500) == pytest.approx(
+    assert exact_median(frame, "total_sales") == pytest.approx(
         want_median, rel=0, abs=1e-9)
