@@ -49,10 +49,11 @@ def decode(frame: DataFrame, schema: T.StructType = MESSAGE_SCHEMA,
     ).select("data.*")
     if keep_rejects:
         return parsed
-    return parsed.where(~_all_null(schema))
+    return parsed.where(~all_null(schema))
 
 
-def _all_null(schema: T.StructType):
+def all_null(schema: T.StructType):
+    """Whether every field of ``schema`` is null."""
     cond = F.lit(True)
     for f in schema.fields:
         cond = cond & F.col(f"`{f.name}`").isNull()
@@ -60,7 +61,7 @@ def _all_null(schema: T.StructType):
 
 
 def rejects(decoded: DataFrame, schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
-    return decoded.where(_all_null(schema))
+    return decoded.where(all_null(schema))
 
 
 def publish(frame: DataFrame, target: str, kafka_options: dict[str, str] | None = None,

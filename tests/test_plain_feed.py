@@ -57,7 +57,7 @@ def test_stream_dedup_without_ids_keeps_every_record(spark, feed, keys):
     for _ in range(2):
         publish(encode(rows), f"{folder}/messages")
     stream = spark.readStream.schema("key string, value string").json(f"{folder}/messages")
-    out = to_bronze(stream, keys, dedup_delay="1 day")
+    out = to_bronze(stream, keys)
     query = out.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start()
     query.awaitTermination()
     got = spark.read.parquet(f"{folder}/out")
