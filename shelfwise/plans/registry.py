@@ -9,6 +9,7 @@ reads ``item_weight`` use the exact-median silver; the others use
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -37,24 +38,35 @@ from shelfwise.operators.model import (
     score,
     score_if_missing,
     split,
+    MAX_DEPTH,
     train,
     training_frame,
-    with_planted_target,
+    with_step_target,
 )
+from shelfwise.operators.quantiles import exact_median
 from shelfwise.plans import layers
-from shelfwise.plans.batch import gold_tables, run_batch
+from shelfwise.plans.batch import frozen_weight_median, gold_tables, run_all, run_batch
 from shelfwise.plans.dashboard import dashboard, prediction_sample, prediction_summary
 from shelfwise.plans.star_queries import sales_by_dim_attributes
-from shelfwise.plans.stream import bronze_path, publish_rows, run_bronze, run_stream
-from shelfwise.schemas import RAW_SCHEMA
-from shelfwise.session import scratch_path
+from shelfwise.plans.stream import (
+    StreamJob,
+    bronze_path,
+    publish_rows,
+    run_bronze,
+    run_landing,
+    run_silver_gold,
+    run_stream,
+)
+from shelfwise.schemas import DATE_NATURAL_KEY, ITEM_NATURAL_KEY, OUTLET_NATURAL_KEY, RAW_SCHEMA
+from shelfwise.session import ensure_checkpoint_dir, scratch_path
 from shelfwise.sinks.warehouse import LOAD_ORDER, TableWarehouse, load_warehouse
 from shelfwise.sources import messages
 from shelfwise.sources.files import lookup, page, page_after, read_csv, stamp_ingest
+from shelfwise.streaming.bronze import read_landed
 from shelfwise.streaming.micro_batches import (
     BatchProcessor,
     StreamLayout,
-    read_dim,
+    read_table,
     start_silver_gold,
 )
 
@@ -330,7 +342,16 @@ def q_check_not_null(spark, sf):
 
 
 def q_check_fk(spark, sf):
-    return check_foreign_keys(_gold(spark, sf, lazy=True))
+    """The feed is read once; the checks read the natural keys as written."""
+    path = scratch_path(spark, "check-fk")
+    keys = (*ITEM_NATURAL_KEY, *OUTLET_NATURAL_KEY, *DATE_NATURAL_KEY)
+    layers.gold_silver(spark, sf, lazy=True).select(*keys).write.parquet(path)
+    rows = spark.read.parquet(path)
+    return check_foreign_keys({
+        "dim_item": star.dim_item(rows), "dim_outlet": star.dim_outlet(rows), "dim_date": star.dim_date(rows),
+        "fact_sales": rows.select(star.item_key().alias("item_key"), star.outlet_key().alias("outlet_key"),
+                                  star.date_key().alias("date_key")),
+    })
 
 
 def q_fact_serial_unique(spark, sf):
@@ -389,7 +410,7 @@ def q_stream_dedup_without_id(spark, sf):
     folder = scratch_path(spark, "dedup-without-id")
     for _ in range(2):
         publish_rows(raw, f"{folder}/messages", extra=())
-    path = run_bronze(spark, f"{folder}/messages", folder, dedup=True, dedup_delay="1 day")
+    path = run_bronze(spark, f"{folder}/messages", folder, dedup=True)
     return spark.read.parquet(path).select(*_raw_cols())
 
 
@@ -470,14 +491,71 @@ def q_stream_silver(spark, sf):
 
 
 def q_stream_gold_equals_batch(spark, sf):
-    """Incrementally maintained dims (several micro-batches) as (table, key)."""
+    """All columns of the five gold tables that several micro-batches built, compacted on the way, with the exact median as frozen value."""
+    base, messages = _published(spark, sf)
+    run_bronze(spark, messages, base, max_files_per_trigger=2)
+    median = exact_median(layers.clean(spark, sf), "item_weight")
+    layout = run_silver_gold(spark, base, median_scope="frozen", frozen_median=median, max_files_per_trigger=2, compact_every=2)
+    tables = ("gold_silver", "dim_item", "dim_outlet", "dim_date", "fact_sales")
+    parts = [read_table(spark, layout, t).withColumn("table_name", F.lit(t)) for t in tables]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
+def q_stream_dedup_late(spark, sf):
+    """The feed published three times, with a restart from the checkpoint before each: every record once, however late its copies."""
+    base = scratch_path(spark, "dedup-late")
+    messages = f"{base}/messages"
+    rows = _bronze_rows(spark, sf)
+    for _ in range(3):
+        publish_rows(rows, messages)
+        path = run_bronze(spark, messages, base, dedup=True)
+    return spark.read.parquet(path).select(*_raw_cols(), "record_id")
+
+
+BROKEN_RATING = 1.5
+
+
+def q_stream_rejects(spark, sf):
+    """Messages of one rating are cut to no JSON: the stream lands them as rejects, by key, and the others as bronze."""
+    base = scratch_path(spark, "rejects")
+    rows = _bronze_rows(spark, sf)
+    sent = messages.encode(rows.where(F.col("Rating") != BROKEN_RATING), extra=("record_id", "ingest_ts"))
+    broken = messages.encode(rows.where(F.col("Rating") == BROKEN_RATING), extra=("record_id",))
+    broken = broken.withColumn("value", F.concat(F.lit("no json "), F.substring("value", 2, 10_000)))
+    messages.publish(sent.unionByName(broken).repartition(6, "value"), f"{base}/messages")
+    good, rejected = run_landing(spark, f"{base}/messages", base, dedup=True, max_files_per_trigger=2)
+    count = F.count(F.lit(1)).alias("rows")
+    landed = read_landed(spark, good).groupBy(F.lit("bronze").alias("kind"), F.col("`Item Identifier`").alias("key")).agg(count)
+    return landed.unionByName(read_landed(spark, rejected).groupBy(F.lit("reject").alias("kind"), "key").agg(count))
+
+
+def q_stream_concurrent(spark, sf):
+    """Both stages at once, with the second half of the feed published while they run: silver as of the last finished batch."""
+    base = scratch_path(spark, "concurrent")
+    first, second = _parts(_bronze_rows(spark, sf), 2)
+    publish_rows(first.repartition(2, "record_id"), f"{base}/messages")
+    job = StreamJob(spark, f"{base}/messages", base, trigger="500 milliseconds", dedup=True, max_files_per_trigger=2)
+    publish_rows(second.repartition(2, "record_id"), f"{base}/messages")
+    return read_table(spark, job.finish(), "silver").select(*STREAM_OUT)
+
+
+def q_frozen_median_from_batch(spark, sf):
+    """The batch build's stored sketch gives the stream its median: filled everywhere, within 1 % of the middle rank."""
     base, messages = _published(spark, sf)
-    layout = run_stream(spark, messages, base, max_files_per_trigger=4)
-    parts = [read_dim(spark, layout, t).select(F.lit(t).alias("table_name"), F.col(k).alias("key"))
-             for t, k in (("dim_item", "item_key"), ("dim_outlet", "outlet_key"), ("dim_date", "date_key"))]
-    return reduce(DataFrame.unionByName, parts)
+    build = run_batch(spark, layers.bronze(spark, sf), f"{base}/lake")
+    run_bronze(spark, messages, base)
+    layout = run_silver_gold(spark, base, frozen_from=build.base)
+    median = frozen_weight_median(spark, build.base)
+    clean = layers.clean(spark, sf)
+    gaps = clean.where(F.col("item_weight").isNull()).select("record_id")
+    filled = read_table(spark, layout, "silver").join(gaps, "record_id", "left_semi")
+    weight = F.col("item_weight")
+    below, upto, n = F.count_if(weight < median), F.count_if(weight <= median), F.count(weight)
+    return clean.agg(
+        n.alias("weights"),
+        ((below / n <= 0.51) & (upto / n >= 0.49)).alias("within_error"),
+        filled.agg(F.count_if(weight == median)).scalar().alias("filled"),
+    )
 
 
 def q_stream_restart(spark, sf):
@@ -535,25 +613,20 @@ def q_stream_impute_scopes(spark, sf):
 
 
 # --------------------------------------------------------------------------
-# Machine learning (planted learnable target, see FIXTURES.md §3)
+# Machine learning (full forest on a learnable target that two categories fix)
 # --------------------------------------------------------------------------
 
-PLANTED = "planted_sales"
-TEST_TREES, TEST_DEPTH = 20, 8
-_MODELS: dict[str, tuple] = {}
+STEP = "step_sales"
 
 
 def _trained(spark, sf):
-    """Fit once per (session, folder); returns (model, artifact folder)."""
-    key = f"{spark.sparkContext.applicationId}:{sf}"
-    if key not in _MODELS:
-        silver = with_planted_target(layers.silver(spark, sf), PLANTED)
-        model, metrics = train(silver, num_trees=TEST_TREES, max_depth=TEST_DEPTH, target=PLANTED)
-        path = scratch_path(spark, "model")
-        save_model(model, f"{path}/model")
-        save_metrics(metrics, f"{path}/metrics")
-        _MODELS[key] = (model, path)
-    return _MODELS[key]
+    """The full forest on the step target; returns (model, metrics).
+
+    Its groups of trees are saved under the checkpoint folder, and a later query takes up the saved ones.
+    """
+    data = hashlib.sha256(f"{spark.sparkContext.applicationId}:{sf}".encode()).hexdigest()[:16]
+    store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwise/forest-{data}"
+    return train(with_step_target(layers.silver(spark, sf), STEP), target=STEP, store=store)
 
 
 def q_onehot_unknown(spark, sf):
@@ -594,27 +667,30 @@ def q_train_split(spark, sf):
 
 
 def q_train_forest(spark, sf):
+    """Trees and one-hot features of the fitted forest, and its distinct predictions over all rows."""
     model, _ = _trained(spark, sf)
-    forest = model.stages[-1]
-    return spark.range(1).select(
-        (F.lit(forest.getNumTrees) == TEST_TREES).alias("tree_count_ok"),
-        (F.lit(max(t.depth for t in forest.trees)) <= TEST_DEPTH).alias("depth_ok"),
-        (F.lit(forest.numFeatures) > 8).alias("one_hot_expanded"),
+    scored = score(model, layers.silver(spark, sf))
+    return scored.groupBy(F.col("predicted_total_sales").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(model.num_trees).cast("long").alias("trees"),
+        F.lit(model.num_features).cast("long").alias("features"),
+        F.lit(model.depth <= MAX_DEPTH).alias("depth_ok"),
     )
 
 
 def q_model_metrics(spark, sf):
-    """Metrics document written by training, read back: planted signal found."""
-    _, path = _trained(spark, sf)
-    m = load_metrics(spark, f"{path}/metrics")
-    return m.select((F.col("r2") >= 0.8).alias("r2_ok"), (F.col("rmse") > 0).alias("rmse_positive"),
-                    (F.col("mae") <= F.col("rmse")).alias("mae_le_rmse"))
+    """Metrics document written and read back; the forest explains the step target."""
+    path = scratch_path(spark, "metrics")
+    save_metrics(_trained(spark, sf)[1], path)
+    return load_metrics(spark, path).select(*[F.round(m, 9).alias(m) for m in ("mae", "rmse", "r2")])
 
 
 def q_model_roundtrip(spark, sf):
     """Saved + loaded model predicts exactly what the fitted one does."""
-    model, path = _trained(spark, sf)
-    loaded = load_model(spark, f"{path}/model")
+    model, _ = _trained(spark, sf)
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    loaded = load_model(spark, path)
     silver = layers.silver(spark, sf)
     a = score(model, silver).select("record_id", F.col("predicted_total_sales").alias("a"))
     b = score(loaded, silver).select("record_id", F.col("predicted_total_sales").alias("b"))
@@ -704,9 +780,9 @@ def q_score_bounds(spark, sf):
     """Every row is scored, and a forest's predictions (means of leaf means)
     stay within the training target's range."""
     model, _ = _trained(spark, sf)
-    silver = with_planted_target(layers.silver(spark, sf), PLANTED)
-    lo = silver.agg(F.min(PLANTED)).scalar()
-    hi = silver.agg(F.max(PLANTED)).scalar()
+    silver = with_step_target(layers.silver(spark, sf), STEP)
+    lo = silver.agg(F.min(STEP)).scalar()
+    hi = silver.agg(F.max(STEP)).scalar()
     scored = score(model, silver)
     p = F.col("predicted_total_sales")
     return scored.agg(
@@ -715,6 +791,23 @@ def q_score_bounds(spark, sf):
     )
 
 
+def q_job_batch_all(spark, sf):
+    """Feed to warehouse in one call: rows of every loaded table, and the metrics that the job wrote."""
+    base = scratch_path(spark, "job")
+    wh = TableWarehouse(f"{base}/warehouse")
+    feed = with_step_target_feed(layers.bronze(spark, sf))
+    job = run_all(spark, feed, f"{base}/lake", wh, median_mode="exact")
+    r2 = F.round(load_metrics(spark, job.metrics).select("r2").scalar(), 9)
+    rows = [wh.read(spark, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("rows")) for t in LOAD_ORDER]
+    return reduce(DataFrame.unionByName, rows).withColumn("r2", r2)
+
+
+def with_step_target_feed(raw: DataFrame) -> DataFrame:
+    """The feed with sales that its categories fix (see ``with_step_target``)."""
+    named = raw.withColumns({"outlet_size": F.col("`Outlet Size`"), "outlet_type": F.col("`Outlet Type`")})
+    return with_step_target(named, "Total Sales").drop("outlet_size", "outlet_type")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name, *_ in dash.CHARTS:
@@ -775,6 +868,11 @@ def registry() -> dict[str, Query]:
         "stream_silver": q_stream_silver,
         "stream_gold_equals_batch": q_stream_gold_equals_batch,
         "stream_restart": q_stream_restart,
+        "stream_dedup_late": q_stream_dedup_late,
+        "stream_rejects": q_stream_rejects,
+        "stream_concurrent": q_stream_concurrent,
+        "frozen_median_from_batch": q_frozen_median_from_batch,
+        "job_batch_all": q_job_batch_all,
         "stream_dedup": q_stream_dedup,
         "stream_impute_scopes": q_stream_impute_scopes,
         "onehot_unknown": q_onehot_unknown,
