@@ -2,8 +2,8 @@
 
 Without one, a key is remembered for as long as the checkpoint lives: Spark's
 ``dropDuplicates`` on a stream without watermark. With ``ttl`` a key is
-forgotten once it has not been seen for that long, by a keyed value state
-whose time to live every copy renews. Both keep their state in RocksDB, on
+forgotten once it has not been seen for that long: its state is the time of its last
+copy, and a timer drops it. Both keep their state in RocksDB, on
 the executors' disks and in the checkpoint, so keys need not fit memory.
 A checkpoint belongs to one of the two forms.
 """
@@ -16,25 +16,32 @@ from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 _UNITS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000, "week": 604_800_000}
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Queries started inside keep their state in RocksDB."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+def state_settings(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB and run no batches without data.
+
+    (Keys with a time to live would call for such batches for ever, so that no stream could drain.)
+    """
+    wanted = {_PROVIDER: ROCKSDB, _NO_DATA: "false"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def milliseconds(span: str) -> int:
@@ -45,32 +52,30 @@ def milliseconds(span: str) -> int:
     return int(found[1]) * _UNITS[found[2]]
 
 
-class _Forgetful(StatefulProcessor):
-    """Passes a key's first row; any further one only renews the key's time to live."""
+def _unless_seen(ttl_ms: int):
+    """Passes a key's first row if its last copy came ``ttl_ms`` ago or more, or never; any row renews that time."""
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "known boolean", self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known, first = self.seen.exists(), None
+    def work(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now, first = state.getCurrentProcessingTimeMs(), None
+        known = state.exists and now - state.get[0] < ttl_ms
         for frame in rows:  # all must be read
             if first is None and len(frame):
                 first = frame.iloc[:1]
-        self.seen.update((True,))
+        state.update((now,))
+        state.setTimeoutDuration(ttl_ms)
         if not known and first is not None:
             yield first
 
-    def close(self) -> None:
-        pass
+    return work
 
 
 def first_copies(stream: DataFrame, key: str, ttl: str | None = None) -> DataFrame:
     """The first row of every ``key`` that the checkpoint has ever seen or, with ``ttl``, that it has not seen for that long."""
     if ttl is None:
         return stream.dropDuplicates([key])
-    return stream.groupBy(key).transformWithStateInPandas(
-        _Forgetful(milliseconds(ttl)), stream.schema, outputMode="Append", timeMode="ProcessingTime"
+    return stream.groupBy(key).applyInPandasWithState(
+        _unless_seen(milliseconds(ttl)), stream.schema, "seen_ms long", "append", GroupStateTimeout.ProcessingTimeTimeout
     )

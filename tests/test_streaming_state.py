@@ -1,0 +1,232 @@
+"""Stream state: keys without a horizon and with a time to live, key index, finished batches, landing, concurrent stages."""
+
+from __future__ import annotations
+
+import glob
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from shelfwise.operators.quantiles import exact_median
+from shelfwise.operators.star import dim_item
+from shelfwise.operators.clean import clean_frame, with_event_date
+from shelfwise.plans import layers
+from shelfwise.plans.batch import frozen_weight_median, run_batch
+from shelfwise.plans.stream import StreamJob, bronze_path, publish_rows, rejects_path, run_bronze, run_landing, run_silver_gold
+from shelfwise.session import scratch_path
+from shelfwise.sources.messages import encode, publish
+from shelfwise.streaming.bronze import Landing, read_landed
+from shelfwise.streaming.dedup import milliseconds
+from shelfwise.streaming.keys import KeyIndex
+from shelfwise.streaming.micro_batches import (
+    TABLES,
+    BatchProcessor,
+    StreamLayout,
+    compact_tables,
+    read_table,
+    stream_weight_median,
+)
+
+
+@pytest.fixture(scope="module")
+def bronze(spark):
+    path = scratch_path(spark, "state-bronze")
+    layers.bronze(spark, SF_SMALL).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def parts_of(bronze, n):
+    bucket = F.pmod(F.xxhash64("record_id"), F.lit(n))
+    return [bronze.where(bucket == k) for k in range(n)]
+
+
+def rows_of(frame):
+    return sorted(map(tuple, frame.select(sorted(frame.columns)).collect()), key=str)
+
+
+def test_time_spans():
+    assert milliseconds("10 minutes") == 600_000 and milliseconds("1 day") == 86_400_000
+    for wrong in ("soon", "0 seconds", "5", "5 fortnights"):
+        with pytest.raises(ValueError):
+            milliseconds(wrong)
+
+
+def test_a_key_with_a_time_to_live_is_forgotten_after_it(spark, bronze):
+    few = bronze.orderBy("record_id").limit(20)
+    base = scratch_path(spark, "ttl")
+    publish_rows(few, f"{base}/messages")
+    publish_rows(few, f"{base}/messages")
+    run_bronze(spark, f"{base}/messages", base, dedup=True, dedup_ttl="20 seconds")
+    count = lambda: spark.read.parquet(bronze_path(base)).groupBy("record_id").count().select(F.sum("count"), F.count("count")).first()
+    assert tuple(count()) == (20, 20)
+    publish_rows(few, f"{base}/messages")
+    run_bronze(spark, f"{base}/messages", base, dedup=True, dedup_ttl="20 seconds")
+    assert tuple(count()) == (20, 20)  # known from the checkpoint
+    time.sleep(21)
+    publish_rows(few, f"{base}/messages")
+    run_bronze(spark, f"{base}/messages", base, dedup=True, dedup_ttl="20 seconds")
+    assert tuple(count()) == (40, 20)  # forgotten, so admitted once more
+
+
+def test_stored_keys_are_neither_shuffled_nor_read_beyond_the_touched_slots(spark):
+    index = KeyIndex(spark, scratch_path(spark, "keys"), slots=8)
+    index.add(spark.range(1000).select(F.col("id").cast("string").alias("key")), "key", 0)
+    fresh = spark.createDataFrame([("5",), ("1005",)], "key string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = index.unseen(fresh, "key", 1)
+        assert [r.key for r in new.collect()] == ["1005"]
+        plan = new._jdf.queryExecution().sparkPlan().toString() + new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    executed = plan[plan.rindex("SortMergeJoin"):]
+    stored = executed[executed.index("FileScan") - 1:] if "FileScan" in executed else ""
+    assert "Bucketed: true" in stored and "PartitionFilters: [" in stored and "slot" in stored
+    lines = executed.splitlines()
+    scan = next(k for k, line in enumerate(lines) if "FileScan" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*(0123456789)|"))
+    above = [line for k, line in enumerate(lines[:scan]) if depth(line) < depth(lines[scan])]
+    branch = []
+    for line in reversed(lines[:scan]):
+        branch.append(line)
+        if "SortMergeJoin" in line or "Scan" in line:
+            break
+    assert above and not any("Exchange" in line for line in branch)
+    assert [r.key for r in index.unseen(fresh, "key", 0).orderBy("key").collect()] == ["1005", "5"]  # a replay doesn't see its own keys
+
+
+def test_an_index_is_found_again_without_its_catalog_entry(spark):
+    path = scratch_path(spark, "keys-again")
+    KeyIndex(spark, path).add(spark.range(50).select(F.col("id").cast("string").alias("key")), "key", 3)
+    spark.sql(f"DROP TABLE {KeyIndex(spark, path).table}")  # an external table: its files stay
+    fresh = spark.createDataFrame([("7",), ("77",)], "key string")
+    assert [r.key for r in KeyIndex(spark, path).unseen(fresh, "key", 4).collect()] == ["77"]
+
+
+def test_batches_compaction_and_replay(spark, bronze):
+    layout = StreamLayout(scratch_path(spark, "finished"))
+    proc = BatchProcessor(layout, median_scope="frozen", frozen_median=25.0, keep_sketches=True)
+    first, second, third = parts_of(bronze, 3)
+    with pytest.raises(LookupError):
+        read_table(spark, layout, "silver")
+    proc(first, 0)
+    proc(second, 1)
+    opened = {t: read_table(spark, layout, t) for t in TABLES}
+    before = {t: rows_of(frame) for t, frame in opened.items()}
+    compact_tables(spark, layout)
+    assert {t: rows_of(read_table(spark, layout, t)) for t in TABLES} == before
+    proc(second, 1)  # replayed after compaction: nothing twice
+    proc(third, 2)
+    proc(third, 2)
+    assert {t: rows_of(frame) for t, frame in opened.items()} == before  # a reader from before is undisturbed
+    assert read_table(spark, layout, "silver").count() == read_table(spark, layout, "gold_silver").count() == bronze.count()
+    assert read_table(spark, layout, "fact_sales").count() == bronze.count()
+    whole = with_event_date(clean_frame(bronze))
+    assert rows_of(read_table(spark, layout, "dim_item")) == rows_of(dim_item(whole))
+    exact = exact_median(clean_frame(bronze), "item_weight")
+    assert abs(stream_weight_median(spark, layout) - exact) <= 1.0
+
+
+def test_another_checkpoint_is_refused(spark, bronze):
+    base = scratch_path(spark, "two-checkpoints")
+    publish_rows(bronze.limit(5), f"{base}/messages")
+    run_bronze(spark, f"{base}/messages", base)
+    layout = run_silver_gold(spark, base)
+    proc = BatchProcessor(layout, median_scope="frozen", frozen_median=25.0)
+    with pytest.raises(RuntimeError, match="another stream"):
+        proc(bronze, 0)
+    assert read_table(spark, layout, "silver").count() == 5
+
+
+def test_an_unfinished_batch_is_not_seen(spark, bronze, monkeypatch):
+    layout = StreamLayout(scratch_path(spark, "unfinished"))
+    proc = BatchProcessor(layout, median_scope="frozen", frozen_median=25.0)
+    first, second = parts_of(bronze, 2)
+    proc(first, 0)
+    n = read_table(spark, layout, "silver").count()
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(proc, "_write_dim", fail)
+        with pytest.raises(RuntimeError):
+            proc(second, 1)
+    assert read_table(spark, layout, "silver").count() == n
+    assert read_table(spark, layout, "fact_sales").count() == n
+    proc(second, 1)
+    assert read_table(spark, layout, "fact_sales").count() == bronze.count()
+
+
+def test_a_batch_without_new_dimension_rows_writes_none(spark, bronze):
+    layout = StreamLayout(scratch_path(spark, "no-empty-files"))
+    proc = BatchProcessor(layout, median_scope="frozen", frozen_median=25.0)
+    for k in range(3):
+        proc(bronze, k)
+    local = layout.base.replace("file:", "")
+    assert glob.glob(f"{local}/gold/dim_item/batch_id=0/*.parquet")
+    assert not glob.glob(f"{local}/gold/dim_item/batch_id=[12]")
+    for path in glob.glob(f"{local}/**/*.parquet", recursive=True):
+        assert spark.read.parquet(f"file:{path}").limit(1).count() == 1, path
+
+
+def test_frozen_median_of_a_build(spark, bronze):
+    base = scratch_path(spark, "frozen-build")
+    assert frozen_weight_median(spark, base) is None
+    run_batch(spark, bronze, base)
+    assert abs(frozen_weight_median(spark, base) - exact_median(clean_frame(bronze), "item_weight")) <= 1.0
+
+
+def test_landing_is_whole_or_not_there(spark, bronze):
+    base = scratch_path(spark, "landing")
+    rows = bronze.withColumns({"_rejected": F.col("Rating") == 1.5, "_message_key": F.lit("k"), "_message": F.lit("m")})
+    rejected = rows.where("_rejected").count()
+    land = Landing(bronze_path(base), rejects_path(base))
+    for _ in range(2):  # a replay leaves what is there
+        land(rows, 0)
+    land(rows.limit(0), 1)
+    assert read_landed(spark, bronze_path(base)).count() == bronze.count() - rejected
+    assert read_landed(spark, rejects_path(base)).groupBy("batch", "key").count().collect()[0]["count"] == rejected
+
+
+def test_copies_of_a_broken_message_count_once(spark, bronze):
+    base = scratch_path(spark, "broken")
+    few = bronze.orderBy("record_id").limit(5)
+    broken = spark.createDataFrame([("a", "{"), ("a", "{"), ("b", "{"), ("a", "x"), (None, None)], "key string, value string")
+    for _ in range(2):
+        publish(encode(few, extra=("record_id",)).unionByName(broken), f"{base}/messages")
+    good, rejects = run_landing(spark, f"{base}/messages", base, dedup=True)
+    assert read_landed(spark, good).count() == 5
+    assert sorted(read_landed(spark, rejects).select("key", "value").collect(), key=str) == sorted([("a", "x"), ("a", "{"), ("b", "{"), (None, None)], key=str)
+
+
+def test_both_stages_run_at_once_and_go_on_after_a_restart(spark, bronze):
+    base = scratch_path(spark, "job")
+    first, second, third = parts_of(bronze, 3)
+    publish_rows(first, f"{base}/messages")
+    job = StreamJob(spark, f"{base}/messages", base, trigger="500 milliseconds", dedup=True)
+    publish_rows(second, f"{base}/messages")
+    layout = job.finish(timeout=240)
+    n = first.count() + second.count()
+    assert read_table(spark, layout, "fact_sales").count() == n
+    publish_rows(third, f"{base}/messages")
+    publish_rows(first, f"{base}/messages")
+    again = StreamJob(spark, f"{base}/messages", base, trigger="500 milliseconds", dedup=True)
+    layout = again.finish(timeout=240)
+    assert read_table(spark, layout, "fact_sales").count() == read_table(spark, layout, "gold_silver").count() == bronze.count()
+
+
+def test_a_failing_stage_is_raised(spark, bronze):
+    base = scratch_path(spark, "job-fails")
+    publish_rows(bronze.limit(5), f"{base}/messages")
+
+    class Broken:
+        def transform(self, frame):
+            raise ValueError("no such model")
+
+    job = StreamJob(spark, f"{base}/messages", base, trigger="500 milliseconds", model=Broken())
+    with pytest.raises(Exception, match="no such model"):
+        job.finish(timeout=120)
