@@ -78,7 +78,7 @@ def _is_local(c: str) -> bool:
 
 def ips(text: str) -> Iterator[tuple[int, int]]:
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups()):
+        if all(len(p) <= 3 and int(p) <= 255 for p in (g.lstrip("0") or "0" for g in m.groups())):
             yield m.span()
 
 

@@ -193,7 +193,7 @@ def plain_spans(text):
     digits = lambda m: re.sub("[^0-9]", "", m[0])
     fits = {
         "email": lambda m: True,
-        "ip": lambda m: all(int(p) <= 255 for p in m[0].split(".")),
+        "ip": lambda m: all(int(p[-4000:]) <= 255 and not p[:-4000].strip("0") for p in m[0].split(".")),
         "card": lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m)),
         "phone": lambda m: 8 <= len(digits(m)) <= 15,
     }
