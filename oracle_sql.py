@@ -313,6 +313,14 @@ def queries_sql() -> dict[str, str]:
     q["page_rows"] = with_ctes(f"{raw_out} ORDER BY record_id LIMIT 1000 OFFSET 1000", silver=False)
     q["page_keyset"] = with_ctes(
         f"{raw_out} WHERE record_id > '5000' ORDER BY record_id LIMIT 1000", silver=False)
+    q["page_deep"] = with_ctes(
+        f"SELECT {RAW_COLS}, record_id FROM (SELECT *, row_number() OVER (ORDER BY record_id) - 1 AS place, "
+        "count(*) OVER () * 4 // 5 AS start FROM raw) WHERE place >= start AND place < start + 1000", silver=False)
+    q["schema_versions"] = with_ctes(
+        "SELECT record_id, outlet_size, CASE WHEN outlet_size = 'High' THEN 'y' ELSE '' END || outlet_establishment_year "
+        "AS outlet_establishment_year, CASE WHEN outlet_size = 'Small' THEN floor(total_sales) ELSE total_sales END AS total_sales, "
+        "CASE WHEN outlet_size <> 'Small' THEN rating END AS rating, CASE WHEN outlet_size = 'Medium' THEN 'web' END AS channel "
+        "FROM clean", silver=False)
     q["item_lookup"] = with_ctes(
         f"SELECT {RAW_COLS}, record_id, count(*) OVER () AS match_count FROM raw "
         "WHERE \"Item Identifier\" = 'P42'", silver=False)

@@ -44,6 +44,7 @@ from shelfwise.operators.model import (
     with_step_target,
 )
 from shelfwise.operators.quantiles import exact_median
+from shelfwise.operators.schemas import append_all
 from shelfwise.plans import layers
 from shelfwise.plans.batch import frozen_weight_median, gold_tables, run_all, run_batch
 from shelfwise.plans.dashboard import dashboard, prediction_sample, prediction_summary
@@ -62,6 +63,7 @@ from shelfwise.session import ensure_checkpoint_dir, scratch_path
 from shelfwise.sinks.warehouse import LOAD_ORDER, TableWarehouse, load_warehouse
 from shelfwise.sources import messages
 from shelfwise.sources.files import lookup, page, page_after, read_csv, stamp_ingest
+from shelfwise.sources.pages import page_at, write_pages
 from shelfwise.streaming.bronze import read_landed
 from shelfwise.streaming.micro_batches import (
     BatchProcessor,
@@ -295,6 +297,25 @@ def q_page_rows(spark, sf):
     return page(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"), offset=1000, limit=1000)
 
 
+def q_page_deep(spark, sf):
+    """A page from four fifths into the feed, found by the rank index."""
+    rows = layers.bronze(spark, sf).select(*_raw_cols(), "record_id")
+    path = scratch_path(spark, "pages")
+    write_pages(rows, path, range_rows=10_000)
+    n = spark.read.parquet(f"{path}/index").agg(F.sum("rows")).first()[0] or 0
+    return page_at(spark, path, offset=n * 4 // 5, limit=1000)
+
+
+def q_schema_versions(spark, sf):
+    """Three versions of the feed as one table: one without a rating and with whole prices, one with a channel, one with the year as text."""
+    s = layers.silver_lazy(spark, sf).select("record_id", "outlet_size", "outlet_establishment_year", "total_sales", "rating")
+    version = lambda size: s.where(F.col("outlet_size") == size)
+    one = version("Small").withColumn("total_sales", F.floor("total_sales").cast("int")).drop("rating")
+    two = version("Medium").withColumn("channel", F.lit("web"))
+    three = version("High").withColumn("outlet_establishment_year", F.concat(F.lit("y"), F.col("outlet_establishment_year")))
+    return append_all([one, two, three])
+
+
 def q_page_keyset(spark, sf):
     return page_after(layers.bronze(spark, sf).select(*_raw_cols(), "record_id"),
                       last_key="5000", limit=1000)
@@ -848,6 +869,8 @@ def registry() -> dict[str, Query]:
         "scan_silver": q_scan_silver,
         "page_rows": q_page_rows,
         "page_keyset": q_page_keyset,
+        "page_deep": q_page_deep,
+        "schema_versions": q_schema_versions,
         "item_lookup": q_item_lookup,
         "gold_table_counts": q_gold_table_counts,
         "warehouse_load": q_warehouse_load,
