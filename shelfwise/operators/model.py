@@ -232,10 +232,12 @@ def save_model(model: ForestModel, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str) -> ForestModel | None:
-    """The saved model, or None when there is none at ``path``; any other failure is raised."""
+    """The saved model, or None when there is nothing at ``path``; a model that is not whole is an error."""
     path = path.rstrip("/")
-    if not _saved(spark, path, "parts"):
+    if not exists(spark, path):
         return None
+    if not _saved(spark, path, "parts"):
+        raise ValueError(f"{path} holds no whole model")
     groups = spark.read.schema("id long").json(f"{path}/parts").count()
     return ForestModel(PipelineModel.load(f"{path}/features"),
                        tuple(RandomForestRegressionModel.load(f"{path}/group-{k}") for k in range(groups)))
