@@ -86,11 +86,14 @@ class Encoder:
             raise ValueError("the vocabulary lacks some single bytes")
         self.ranks = ranks
         self.token_bytes = {rank: token for token, rank in ranks.items()}
+        self._by_rank = [self.token_bytes.get(rank, b"") for rank in range(max(self.token_bytes) + 1)]
         self._find = regex.compile(pattern).findall
         self._has_symbol = re.compile(f"[{_ranges(symbols)}]").search if symbols else None
         self._as_symbol = dict.fromkeys(map(ord, symbols), _SYMBOL)
-        self._fits: dict[int, bool] = {}
+        self._fits: dict[tuple[int, int], bool] = {}
+        #: Ids of words met since the last change of memos, and of those met before it.
         self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
         self._packed = {rank: rank.to_bytes(4, "little") for rank in self.token_bytes}
         #: Of each token that merging reaches, the two tokens of its last merge.
@@ -125,7 +128,7 @@ class Encoder:
         Takes back the later merge of the two sides again and again; before each, a
         merge across the border of a lower rank would have come first.
         """
-        pair = left << 32 | right
+        pair = left, right
         known = self._fits.get(pair)
         if known is None:
             known = self._fits[pair] = self._stay_apart(left, right)
@@ -148,25 +151,34 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        latin = piece.decode("latin-1")
+        found = [match for _, match in self._tokens.iter_long(latin)]
+        greedy = [rank for rank, _ in found]
+        known = self._fits
+        for k, pair in enumerate(zip(greedy, greedy[1:])):
+            if not (known[pair] if pair in known else self.fits(*pair)):
+                return self._backtrack(latin, greedy[: k + 1], sum([size for _, size in found[: k + 1]]), found[k + 1])
+        return greedy
+
+    def _backtrack(self, piece: str, out: list[int], at: int, match: tuple[int, int]) -> list[int]:
+        """The tokens of a piece whose longest matches are ``out`` up to ``at``, where the longest one can't follow."""
         n = len(piece)
-        longest: list[tuple[int, int]] = [(0, 0)] * n
-        for end, (rank, size) in self._tokens.iter(piece.decode("latin-1")):
-            longest[end - size + 1] = (rank, size)
         is_open = bytearray(b"\x01") * (n + 1)
-        out: list[int] = []
-        at, (token, size) = 0, longest[0]
+        known, shorter_of = self._fits, self._shorter
+        token, size = match
         while at < n:
-            if is_open[at + size] and (not out or self.fits(out[-1], token)):
+            pair = (out[-1], token) if out else None
+            if is_open[at + size] and (pair is None or (known[pair] if pair in known else self.fits(*pair))):
                 out.append(token)
                 at += size
                 if at < n:
-                    token, size = longest[at]
-            elif shorter := self._shorter[token]:
+                    _, (token, size) = next(self._tokens.iter_long(piece, at))
+            elif shorter := shorter_of[token]:
                 token, size = shorter
             else:
                 is_open[at] = 0
                 token = out.pop()
-                size = len(self.token_bytes[token])
+                size = len(self._by_rank[token])
                 at -= size
         return out
 
@@ -176,29 +188,50 @@ class Encoder:
         ends = np.cumsum([len(piece) for piece in self._find(text.translate(self._as_symbol))]).tolist()
         return [text[start:end] for start, end in zip([0, *ends], ends)]
 
-    def _word_ids(self, word: str) -> bytes:
-        known = self._pieces
-        if len(known) > MEMO_PIECES:
-            known.clear()
-        pieces = self.pieces(word)
-        for piece in pieces:
-            if piece not in known:
-                known[piece] = b"".join([self._packed[token] for token in self.encode_piece(piece.encode())])
-        return b"".join([known[piece] for piece in pieces])
+    def _piece_ids(self, piece: str) -> bytes:
+        known = self._pieces.get(piece)
+        if known is None:
+            known = self._pieces[piece] = b"".join([self._packed[token] for token in self.encode_piece(piece.encode())])
+        return known
+
+    def _learn(self, words: set[str]) -> None:
+        """Memoise the ids of words that follow a space.
+
+        Those that end in no white space are cut into pieces in one go, as they may stand next to each other.
+        """
+        older, known = self._older, self._words
+        known.update([(word, older[word]) for word in words if word in older])
+        new = [word for word in words.difference(older) if not word[-1].isspace()]
+        pieces = iter(self.pieces("".join([" " + word for word in new])))
+        for word in new:
+            piece = next(pieces)
+            left = len(word) + 1 - len(piece)
+            ids = self._piece_ids(piece)
+            while left:
+                piece = next(pieces)
+                left -= len(piece)
+                ids += self._piece_ids(piece)
+            known[word] = ids
+        for word in words.difference(known):
+            known[word] = self._text_ids(" " + word)
+
+    def _text_ids(self, text: str) -> bytes:
+        return b"".join(map(self._piece_ids, self.pieces(text)))
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         first, *words = _CUT.split(text)
         if len(self._words) > MEMO_PIECES:
-            self._words.clear()
-        known = self._words
-        for word in set(words).difference(known):
-            known[word] = self._word_ids(" " + word)
-        return self._word_ids(first) + b"".join([known[word] for word in words])
+            self._older, self._words = self._words, {}
+        if len(self._pieces) > MEMO_PIECES:
+            self._pieces.clear()
+        if new := set(words).difference(self._words):
+            self._learn(new)
+        return self._text_ids(first) + b"".join(map(self._words.__getitem__, words))
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of the text whose ``encode`` result is given."""
-        return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        return b"".join(map(self._by_rank.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 @lru_cache(maxsize=4)
