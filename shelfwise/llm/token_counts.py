@@ -13,6 +13,7 @@ nothing; input columns with the name of an output column are replaced by it.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -72,6 +73,8 @@ class WordCounter:
 
 @lru_cache(maxsize=2)
 def _counter(model: bytes) -> WordCounter:
+    """A worker's counter. Its task has one core: the library's own threads would only wait for each other."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordCounter(model)
 
 
@@ -91,7 +94,7 @@ def count_tokens(docs: DataFrame, model: bytes, cache: str, doc_id: str = "doc_i
     """Columns ``carry`` of ``docs`` with n_bytes, digest and n_tokens; misses are appended to ``cache``.
 
     ``cache`` is a folder that executors share. Rows without their texts are written once; each
-    missing digest picks one row, and only a join on that row's key moves text. A
+    missing digest picks one row, and only a join on that row's id and key moves text. A
     digest that many rows share meets the counts in a join of plain scans, which Spark can split.
     """
     spark = docs.sparkSession
@@ -103,12 +106,14 @@ def count_tokens(docs: DataFrame, model: bytes, cache: str, doc_id: str = "doc_i
         *kept,
         F.octet_length(body).cast("long").alias("n_bytes"),
         F.sha2(F.concat(F.lit(version), F.lit(":"), normalised(body)), 256).alias("digest"),
+        F.col(doc_id).alias("_id"),
         row_key(F.col(doc_id), body).alias("_key"),
     )
     rows = materialise(rows, "token-digests")
     misses = (
         rows.groupBy("digest")
-        .agg(F.min("_key").alias("_key"))
+        .agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("_row"))
+        .select("digest", "_row._id", "_row._key")
         .join(read_cache(docs, cache, version), "digest", "left_anti")
     )
 
@@ -118,11 +123,12 @@ def count_tokens(docs: DataFrame, model: bytes, cache: str, doc_id: str = "doc_i
             counts = np.fromiter((counter.count(t.as_py()) for t in batch.column("_text")), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts)], names=["digest", "n_tokens"])
 
-    texts = docs.select(row_key(F.col(doc_id), body).alias("_key"), normalised(body).alias("_text"))
+    texts = docs.select(F.col(doc_id).alias("_doc"), row_key(F.col(doc_id), body).alias("_row"), normalised(body).alias("_text"))
+    same = (F.col("_key") == F.col("_row")) & F.col("_id").eqNullSafe(F.col("_doc"))
     schema = T.StructType([T.StructField("digest", T.StringType()), T.StructField("n_tokens", T.LongType())])
-    counted = map_arrow(misses.join(texts, "_key").select("digest", "_text"), work, schema)
+    counted = map_arrow(misses.join(texts, same).select("digest", "_text"), work, schema)
     counted.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")).select(
         "digest", F.lit(version).alias("version"), "n_tokens"
     ).write.mode("append").parquet(cache)
     counts = materialise(read_cache(docs, cache, version), "token-counts")
-    return rows.drop("_key").join(counts, "digest")
+    return rows.drop("_id", "_key").join(counts, "digest")
