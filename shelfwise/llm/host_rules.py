@@ -2,8 +2,10 @@
 
 Each document is held against four rules. Failures are summed by host, each
 host's failure rate is shrunk towards the corpus rate through a beta prior fitted
-to the hosts by moments, and a host whose lower posterior bound exceeds
-``max_rate`` loses all its documents.
+to the hosts by moments. A host whose lower posterior bound exceeds
+``max_rate`` loses all its documents. Two of the rules (symbols and repeated lines) are hints only: a document
+that fails one goes unless its host is trusted, that is, unless the upper posterior bound of the
+host's rate is below ``trusted_rate``.
 
 Nulls and edges: a null text has no words (and so fails the word rule); a null
 host is the host ''; an empty table gives an empty result; repeated rows are
@@ -37,6 +39,8 @@ class Rules:
     max_dup_lines_pct: int = 50
     #: A host goes when its failure rate exceeds this with the given normal quantile.
     max_rate: float = 0.5
+    #: A host is trusted when its failure rate is below this with the same quantile.
+    trusted_rate: float = 0.01
     z: float = 1.645
     #: Limits of the prior's strength, in documents.
     min_strength: float = 2.0
@@ -115,17 +119,20 @@ def base_failed(rules: Rules) -> Column:
     )
 
 
+def hint_failed(rules: Rules) -> Column:
+    """Too many symbols for the words, or too many repeated lines."""
+    return (100 * F.col("n_symbols") > rules.max_symbols_pct * F.col("n_words")) | (
+        100 * F.col("n_dup_lines") > rules.max_dup_lines_pct * F.col("n_lines")
+    )
+
+
 def rule_failed(rules: Rules) -> Column:
     """Any of the four rules fails."""
-    return (
-        base_failed(rules)
-        | (100 * F.col("n_symbols") > rules.max_symbols_pct * F.col("n_words"))
-        | (100 * F.col("n_dup_lines") > rules.max_dup_lines_pct * F.col("n_lines"))
-    )
+    return base_failed(rules) | hint_failed(rules)
 
 
 def host_verdicts(counted: DataFrame, rules: Rules, host: str = "source") -> DataFrame:
-    """One row per host: n_docs, n_failed, failure_rate (shrunk), host_ok."""
+    """One row per host: n_docs, n_failed, failure_rate (shrunk), host_ok, host_trusted."""
     hosts = materialise(
         counted.groupBy(F.coalesce(F.col(host), F.lit("")).alias("_host")).agg(
             F.count(F.lit(1)).alias("n_docs"),
@@ -146,7 +153,12 @@ def host_verdicts(counted: DataFrame, rules: Rules, host: str = "source") -> Dat
     mean = a / (a + b)
     sd = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return hosts.select(
-        "_host", "n_docs", "n_failed", mean.alias("failure_rate"), (mean - rules.z * sd <= rules.max_rate).alias("host_ok")
+        "_host",
+        "n_docs",
+        "n_failed",
+        mean.alias("failure_rate"),
+        (mean - rules.z * sd <= rules.max_rate).alias("host_ok"),
+        (mean + rules.z * sd < rules.trusted_rate).alias("host_trusted"),
     )
 
 
@@ -166,9 +178,9 @@ def fit_prior(hosts: int, n: float | None, k: float | None, n2: float | None, k2
 
 
 def judge(docs: DataFrame, rules: Rules | None = None, text: str = "text", host: str = "source", carry: tuple[str, ...] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``carry``) with the counts, base_failed, host_ok and kept.
+    """``docs`` (or its columns ``carry``) with the counts, base_failed, host_ok, host_trusted and kept.
 
-    kept: neither the base rules nor the host's verdict reject the document. The
+    kept: neither the base rules nor the host's verdict reject the document, and it fails no hint or its host is trusted. The
     counted rows are written once and read twice (for the hosts and the verdicts);
     the join with the hosts' table meets plain scans, so a hot host can be split.
     """
@@ -178,14 +190,14 @@ def judge(docs: DataFrame, rules: Rules | None = None, text: str = "text", host:
         counted = counted.select(*dict.fromkeys((*carry, host)), *COUNTS, "n_lines")
     counted = materialise(counted, "host-rules")
     verdicts = materialise(
-        host_verdicts(counted, rules, host).select("_host", "host_ok"), "host-verdicts"
+        host_verdicts(counted, rules, host).select("_host", "host_ok", "host_trusted"), "host-verdicts"
     )
     failed = base_failed(rules)
     return (
-        counted.drop("base_failed", "host_ok", "kept")
+        counted.drop("base_failed", "host_ok", "host_trusted", "kept")
         .withColumn("_host", F.coalesce(F.col(host), F.lit("")))
         .join(verdicts, "_host")
         .drop("_host")
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & F.col("host_ok"))
+        .withColumn("kept", ~failed & F.col("host_ok") & (~hint_failed(rules) | F.col("host_trusted")))
     )

@@ -71,8 +71,8 @@ counted as (
   from w left join covered using (rid)),
 judged as (
   select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
-    n_words < 10 or 100 * n_repeat_words > 20 * n_words or 100 * n_symbols > 50 * n_words
-      or 100 * n_dup_lines > 50 * n_lines as failed
+    100 * n_symbols > 50 * n_words or 100 * n_dup_lines > 50 * n_lines as hint_failed,
+    base_failed or hint_failed as failed
   from counted),
 hosts as (select host, count(*) as n, count(*) filter (failed) as k from judged group by host),
 sums as (select count(*) as h, sum(n)::double as n, sum(k)::double as k, sum(n::double * n) as n2, sum(k::double * k / n) as k2 from hosts),
@@ -83,13 +83,15 @@ prior as (
   select rate, case when h < 2 or spread = 0 or scale <= 0 or between_ <= 0 then 10000
     else least(greatest(spread / (between_ / scale) - 1, 2), 10000) end as m from moments),
 post as (select host, rate * m + k as a, (1 - rate) * m + n - k as b from hosts, prior),
-verdicts as (select host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) <= 0.5 as host_ok from post)
+verdicts as (
+  select host, a / (a + b) as mean, 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as margin,
+    mean - margin <= 0.5 as host_ok, mean + margin < 0.01 as host_trusted from post)
 """
 
 OP9_HOST_RULES = f"""
 with {_OP9_JUDGED}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and host_ok as kept
+  not base_failed and host_ok and (not hint_failed or host_trusted) as kept
 from judged join verdicts using (host)
 """
 

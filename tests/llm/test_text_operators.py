@@ -122,7 +122,8 @@ def test_host_rules_edge_cases(edge_docs, no_docs):
         assert r["n_dup_lines"] == len(lines) - len(set(lines))
         assert r["n_repeat_words"] == repeat_words(words)
         assert r["base_failed"] == (len(words) < 10 or 100 * r["n_repeat_words"] > 20 * len(words))
-        assert r["kept"] == (not r["base_failed"] and r["host_ok"])
+        hinted = 100 * r["n_symbols"] > 50 * r["n_words"] or 100 * r["n_dup_lines"] > 50 * r["n_lines"]
+        assert r["kept"] == (not r["base_failed"] and r["host_ok"] and (not hinted or r["host_trusted"]))
     assert host_rules.judge(no_docs).count() == 0
 
 
@@ -145,6 +146,17 @@ def test_a_bad_host_goes_and_a_small_one_is_spared(spark):
     assert verdict == {"good": True, "bad": False, "small": True}
 
 
+def test_hints_count_unless_the_host_is_trusted(spark):
+    clean = "one two three four five six seven eight nine ten eleven"
+    bad = clean + " #*$%&|<>"
+    rows = [(i, clean, "mixed") for i in range(300)] + [(1000 + i, bad, "mixed") for i in range(60)]
+    rows += [(2000 + i, clean, "good") for i in range(4000)] + [(9000, bad, "good")]
+    judged = host_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    kept = {r["doc_id"] for r in judged.where("kept").select("doc_id").collect()}
+    assert kept == {d for d, text, _ in rows if text == clean} | {9000}
+    assert {r["source"] for r in judged.where("host_trusted").select("source").distinct().collect()} == {"good"}
+
+
 def test_urls(spark):
     rules = [url_reputation.Rule("allow", "com/"), url_reputation.Rule("block", "example.com/en/"), url_reputation.Rule("allow", "www.example.com/en/")]
     cases = {
