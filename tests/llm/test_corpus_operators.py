@@ -144,6 +144,14 @@ def plain_removed(rows, percent=80):
     return {k: sorted(v) for k, v in out.items()}
 
 
+def edited_numbers(line, edits, rng):
+    line = list(line)
+    for _ in range(edits):
+        at = rng.randrange(len(line))
+        line[at : at + rng.randrange(2)] = rng.choice([[], [rng.randrange(1000, 2000)]])
+    return line
+
+
 def test_line_groups_equal_brute_force(spark):
     rng = random.Random(8)
     base = [[f"l{b}w{k}" for k in range(rng.choice([3, 30, 90]))] for b in range(12)]
@@ -195,12 +203,36 @@ def test_large_blocks_lose_no_link(monkeypatch):
     first = {tuple(sorted((r["a"], r["b"]))) for r in found if r["b"] is not None}
     waiting = [r for r in found if r["b"] is None]
     assert first < near and len(waiting) == 40
-    # Suppose that only pairs of even keys are verified.
-    links = {p for p in first if p[0] % 2 == p[1] % 2 == 0}
-    component = {k: min(g) for g in groups(range(40), links) for k in g}
-    again = pa.RecordBatch.from_arrays([*batch.columns, pa.array([component[k] for k in range(40)])], names=[*batch.schema.names, "component"])
-    later = {tuple(sorted((r["a"], r["b"]))) for r in pa.Table.from_batches(line_dedup._later_pairs(iter([again]), 80)).to_pylist()}
-    assert later == {p for p in near if component[p[0]] != component[p[1]]}
+
+
+def test_links_across_components_lose_no_link(spark, monkeypatch):
+    """Lines of one block: the components are those of all pairs, however the block is cut into cells."""
+    rng = random.Random(5)
+    base = [list(range(100 * b, 100 * b + 30)) for b in range(3)]
+    lines = {tuple(edited_numbers(rng.choice(base), rng.randrange(0, 8), rng)) for _ in range(150)}
+    lines = dict(enumerate(sorted(lines)))
+    near = [(a, b) for a in lines for b in lines if a < b and 5 * levenshtein(lines[a], lines[b]) <= max(len(lines[a]), len(lines[b]))]
+    first = [p for p in near if p[0] % 3 == p[1] % 3 == 0]
+    component = {k: min(g) for g in groups(list(lines), first) for k in g}
+    waiting = spark.createDataFrame([(1, k, 0, len(x), component[k]) for k, x in lines.items()], "block long, key long, sim long, n int, component long")
+    sequences = spark.createDataFrame([(k, list(x)) for k, x in lines.items()], "key long, words array<int>")
+    want = {tuple(sorted(g)) for g in groups(list(lines), near)}
+    for size in (1 << 19, 1500):
+        monkeypatch.setattr(line_dedup, "CELL_WORDS", size)
+        links = [(r["a"], r["b"]) for r in line_dedup._links_across(waiting, sequences, 80).collect()]
+        assert links and set(map(tuple, map(sorted, links))) <= set(near)
+        assert {tuple(sorted(g)) for g in groups(list(lines), first + links)} == want
+
+
+def test_shared_blocks_are_found_across_batches():
+    rng = random.Random(4)
+    rows = sorted((rng.randrange(60), rng.randrange(4)) for _ in range(120))
+    want = [r for r in dict.fromkeys(rows) if len({k for b, k in rows if b == r[0]}) > 1]
+    for size in (1, 2, 7, 200):
+        cuts = [rows[k : k + size] for k in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*cut)], names=["block", "key"]) for cut in cuts]
+        got = [(r["block"], r["key"]) for r in pa.Table.from_batches(line_dedup._shared(iter(batches))).to_pylist()]
+        assert got == want, size
 
 
 def test_edit_distance():
