@@ -1,10 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval and sequence checks.
 
 1. *Weights*: document frequencies of the benchmark's words, over all documents.
-2. *Latent space*: randomised SVD of TF-IDF passages. Tasks add up A'(AQ) for their
-   passages; the driver only holds matrices of vocabulary times rank. It is fitted to
-   the benchmark's items and a sample of at most ``sample_docs`` documents (expected),
-   picked by hash from the whole corpus.
+2. *Latent space*: randomised SVD of TF-IDF passages. Tasks add up A'A for their
+   passages; the driver holds that sum over pairs of the items' words, whatever the corpus. It is fitted to
+   the benchmark's items and the passages of all documents, whose word products one pass adds up.
 3. *Search*: every passage of every document (windows of 32 and of 64 words, a new one each 16
    words) is folded in and compared with every item's part. A cosine of ``min_cosine`` makes a candidate.
 4. *Checks*, in the same task: the longest common subsequence of words must cover
@@ -36,6 +35,10 @@ STEP = 16
 #: Passages in steps; neighbouring passages overlap.
 SPANS = (2, 4)
 PART = 48
+#: Cells of A'A that the driver spreads out at a time.
+GRAM_CELLS = 1 << 23
+#: Pairs of words that a task holds before it adds them up.
+GRAM_PAIRS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -43,7 +46,6 @@ class Search:
     rank: int = 128
     oversample: int = 16
     passes: int = 3
-    sample_docs: int = 2_000
     block_items: int = 500
     min_cosine: float = 0.25
     min_lcs: float = 0.7
@@ -205,48 +207,83 @@ class Passages:
                 out[inside] += sums[steps[inside] + k]
             yield span, steps, out / np.sqrt(norm[steps])[:, None]
 
-    def gram_product(self, q: np.ndarray) -> np.ndarray:
-        """A'(Aq) for A of the chunk's single steps as passages."""
-        out = np.zeros(q.shape)
-        steps = self._fold_words(q, np.arange(len(self.word)))
-        norm = np.maximum(self._squares, 1e-12)[:, None]
-        spread = (steps / norm)[self.word_step] * self.weight[:, None]
-        order = np.argsort(self.index, kind="stable")
-        if len(order):
-            first = np.flatnonzero(np.diff(self.index[order], prepend=-1))
-            out[self.index[order][first]] = np.add.reduceat(spread[order], first, axis=0)
-        return out
+    def gram(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of A'A for A of the chunk's single steps as passages: codes row * size + column with row <= column, and values.
+
+        A step has at most STEP words: round k takes each word with the k-th after it in its step.
+        """
+        codes, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+        norm = np.maximum(self._squares, 1e-12)
+        for k in range(STEP):
+            at = np.flatnonzero(self.word_step[k:] == self.word_step[: max(0, len(self.word_step) - k)])
+            i, j = self.index[at], self.index[at + k]
+            value = self.weight[at].astype(float) * self.weight[at + k] / norm[self.word_step[at]]
+            codes.append(np.minimum(i, j) * size + np.maximum(i, j))
+            # A word that comes twice meets itself in both orders.
+            values.append(np.where((i == j) & (k > 0), 2 * value, value))
+        return _summed(np.concatenate(codes), np.concatenate(values))
+
+
+def gram_sums(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, unknown: float, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sums of A'A over the steps of all documents as (codes row * size + column with row <= column, values), and the number of steps."""
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weights, unknown))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, weights, unknown = shared.value
+        codes, values, steps = np.zeros(0, np.int64), np.zeros(0), 0
+        new: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return _summed(np.concatenate([codes, *(c for c, _ in new)]), np.concatenate([values, *(v for _, v in new)]))
+
+        for batch in batches:
+            for chunk in tokens.chunks(batch.column(0)):
+                passages = Passages(chunk, vocabulary, weights, unknown)
+                steps += len(passages.start)
+                new.append(passages.gram(len(vocabulary.hashes)))
+                if sum(len(c) for c, _ in new) > max(GRAM_PAIRS, len(codes)):
+                    codes, values = merged()
+                    new.clear()
+        codes, values = merged()
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(codes, -1)), pa.array(np.append(values, steps))], names=["code", "value"])
+
+    sums = map_arrow(docs.select(text), work, "code long, value double").groupBy("code").agg(F.sum("value").alias("value")).orderBy("code").toArrow()
+    codes, values = sums["code"].to_numpy(), sums["value"].to_numpy()
+    return codes[1:], values[1:], int(values[0]) if len(values) else 0
+
+
+def _summed(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the sums of their values."""
+    distinct, place = np.unique(codes, return_inverse=True)
+    return distinct, np.bincount(place, values, len(distinct))
 
 
-def latent_space(sample: DataFrame, parts: list[Part], vocabulary: Vocabulary, weights: np.ndarray, unknown: float, search: Search) -> np.ndarray:
-    """Leading right singular vectors (vocabulary x rank) of items and sampled passages, by subspace iteration."""
+def latent_space(docs: DataFrame, parts: list[Part], vocabulary: Vocabulary, weights: np.ndarray, unknown: float, search: Search, text: str = "text") -> np.ndarray:
+    """Leading right singular vectors (vocabulary x rank) of the items and all documents' passages, by subspace iteration."""
     size = len(vocabulary.hashes)
     columns = min(search.rank + search.oversample, size)
     items = item_vectors(parts, vocabulary, weights)
-    spark = sample.sparkSession
+    codes, values, steps = gram_sums(docs, vocabulary, weights, unknown, text)
+    off = codes // max(1, size) != codes % max(1, size)
+    codes = np.concatenate((codes, codes[off] % size * size + codes[off] // size))
+    order = np.argsort(codes)
+    codes, values = codes[order], np.concatenate((values, values[off]))[order]
+    block = max(1, GRAM_CELLS // max(1, size))
     q = np.linalg.qr(np.random.default_rng(search.seed).standard_normal((size, columns)))[0]
     for _ in range(search.passes):
-        shared = spark.sparkContext.broadcast((vocabulary, weights, unknown, q.astype(np.float32)))
-
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocabulary, weights, unknown, q = shared.value
-            total, n = np.zeros(q.shape), 0
-            for batch in batches:
-                for chunk in tokens.chunks(batch.column(0)):
-                    passages = Passages(chunk, vocabulary, weights, unknown)
-                    total += passages.gram_product(q)
-                    n += len(passages.start)
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.astype(np.float32).tobytes()])], names=["n", "total"])
-
-        found = map_arrow(sample, work, "n long, total binary").collect()
-        total = sum((np.frombuffer(r["total"], np.float32).reshape(q.shape).astype(float) for r in found), np.zeros(q.shape))
-        # Items count as much as all sampled passages together.
-        product = total / max(1, sum(r["n"] for r in found)) + items.T @ (items @ q) / max(1, len(items))
+        total = np.zeros(q.shape)
+        for first in range(0, size, block):
+            a, b = np.searchsorted(codes, (first * size, (first + block) * size))
+            rows = np.zeros((min(block, size - first), size))
+            rows.reshape(-1)[codes[a:b] - first * size] = values[a:b]
+            total[first : first + block] = rows @ q
+        # Items count as much as all passages together.
+        product = total / max(1, steps) + items.T @ (items @ q) / max(1, len(items))
         small = q.T @ product
         basis = q
         q = np.linalg.qr(product)[0]
-    values, turn = np.linalg.eigh((small + small.T) / 2)
-    lead = np.argsort(values)[::-1][: search.rank]
+    found, turn = np.linalg.eigh((small + small.T) / 2)
+    lead = np.argsort(found)[::-1][: search.rank]
     return (basis @ turn[:, lead]).astype(np.float32)
 
 
@@ -266,10 +303,7 @@ def _search_block(docs: DataFrame, parts: list[Part], search: Search, doc_id: st
     weights = np.log((n_docs + 1) / (frequency + 1)) + 0.1
     unknown = float(np.log(n_docs + 1) + 0.1)
     key = row_key(F.col(doc_id), F.col(text))
-    share = min(1.0, search.sample_docs / max(1, n_docs))
-    picked = F.pmod(F.xxhash64(key, F.lit(search.seed)), F.lit(1_000_003)) < int(share * 1_000_003) + 1
-    sample = materialise(docs.where(picked).select(text).repartition(8), "lsa-sample")
-    space = latent_space(sample, parts, vocabulary, weights, unknown, search)
+    space = latent_space(docs, parts, vocabulary, weights, unknown, search, text)
     queries = (item_vectors(parts, vocabulary, weights) @ space).astype(np.float32)
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-6)
     shared = spark.sparkContext.broadcast((parts, vocabulary, weights.astype(np.float32), unknown, space, queries))
