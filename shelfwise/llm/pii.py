@@ -195,13 +195,16 @@ def word_counts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> tuple
     bitmap = docs.sparkSession.sparkContext.broadcast(membership_bitmap(wanted, "term"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
+        total, terms, n = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for chunk in tokens.chunks(batch.column(0)):
                 hashes = tokens.words(chunk.data, chunk.bounds, tokens.ALNUM).hash.view(np.int64)
                 total += len(hashes)
-                terms, n = np.unique(hashes[in_bitmap(bitmap.value, hashes)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], names=["term", "n"])
+                found, times = np.unique(hashes[in_bitmap(bitmap.value, hashes)], return_counts=True)
+                terms, place = np.unique(np.concatenate((terms, found)), return_inverse=True)
+                n = np.bincount(place, np.concatenate((n, times)), len(terms)).astype(np.int64)
+        # One row a term and task, however many chunks hold it.
+        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n)], names=["term", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], names=["term", "n"])
 
     counts = materialise(map_arrow(docs.select(text), work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")), "pii-words")
