@@ -255,7 +255,7 @@ def gram_sums(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, unkn
 def _summed(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in order, and the sums of their values."""
     distinct, place = np.unique(codes, return_inverse=True)
-    return distinct, np.bincount(place, values, len(distinct))
+    return distinct, np.bincount(place, values, len(distinct)).astype(float)  # empty: whole numbers
 
 
 def latent_space(docs: DataFrame, parts: list[Part], vocabulary: Vocabulary, weights: np.ndarray, unknown: float, search: Search, text: str = "text") -> np.ndarray:
