@@ -62,3 +62,12 @@ def test_stream_key_is_sixteen_bytes(spark, tmp_path):
 
     sizes = _rows(spark).select(F.length(_digest("key", F.col("record_id"))).alias("n")).distinct().collect()
     assert [r["n"] for r in sizes] == [16]
+
+
+def test_csv_feed_is_compressed(spark):
+    from shelfwise.plans.registry import q_feed_without_id_dashboard
+    from shelfwise.session import ensure_checkpoint_dir
+
+    q_feed_without_id_dashboard(spark, SF)
+    written = spark.read.text(f"{ensure_checkpoint_dir(spark)}/shelfwise/feed-without-id-*/csv").inputFiles()
+    assert written and all(f.endswith(".csv.gz") for f in written)
