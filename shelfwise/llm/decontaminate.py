@@ -35,8 +35,8 @@ STEP = 16
 #: Passages in steps; neighbouring passages overlap.
 SPANS = (2, 4)
 PART = 48
-#: Cells of A'A that the driver spreads out at a time.
-GRAM_CELLS = 1 << 23
+#: Cells of A'A that the driver spreads out at a time, and that a task holds as an array (128 MB).
+GRAM_CELLS = 1 << 24
 #: Pairs of words that a task holds before it adds them up.
 GRAM_PAIRS = 1 << 20
 
@@ -208,7 +208,7 @@ class Passages:
             yield span, steps, out / np.sqrt(norm[steps])[:, None]
 
     def gram(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of A'A for A of the chunk's single steps as passages: codes row * size + column with row <= column, and values.
+        """Products in A'A for A of the chunk's single steps as passages, to be summed: codes row * size + column with row <= column, and values.
 
         A step has at most STEP words: round k takes each word with the k-th after it in its step.
         """
@@ -221,7 +221,7 @@ class Passages:
             codes.append(np.minimum(i, j) * size + np.maximum(i, j))
             # A word that comes twice meets itself in both orders.
             values.append(np.where((i == j) & (k > 0), 2 * value, value))
-        return _summed(np.concatenate(codes), np.concatenate(values))
+        return np.concatenate(codes), np.concatenate(values)
 
 
 def gram_sums(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, unknown: float, text: str) -> tuple[np.ndarray, np.ndarray, int]:
@@ -230,6 +230,9 @@ def gram_sums(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, unkn
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights, unknown = shared.value
+        size = len(vocabulary.hashes)
+        # A small vocabulary's cells fit an array; else distinct pairs are sorted out.
+        cells = np.zeros(size * size if size * size <= GRAM_CELLS else 0)
         codes, values, steps = np.zeros(0, np.int64), np.zeros(0), 0
         new: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -240,11 +243,18 @@ def gram_sums(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, unkn
             for chunk in tokens.chunks(batch.column(0)):
                 passages = Passages(chunk, vocabulary, weights, unknown)
                 steps += len(passages.start)
-                new.append(passages.gram(len(vocabulary.hashes)))
+                products = passages.gram(size)
+                if len(cells):
+                    np.add.at(cells, *products)
+                    continue
+                new.append(products)
                 if sum(len(c) for c, _ in new) > max(GRAM_PAIRS, len(codes)):
                     codes, values = merged()
                     new.clear()
         codes, values = merged()
+        if len(cells):
+            codes = np.flatnonzero(cells)
+            values = cells[codes]
         yield pa.RecordBatch.from_arrays([pa.array(np.append(codes, -1)), pa.array(np.append(values, steps))], names=["code", "value"])
 
     sums = map_arrow(docs.select(text), work, "code long, value double").groupBy("code").agg(F.sum("value").alias("value")).orderBy("code").toArrow()

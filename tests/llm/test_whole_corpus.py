@@ -43,3 +43,13 @@ def test_term_counts_are_one_row_a_task(spark, monkeypatch):
     counts, total = pii.word_counts(docs, wanted)
     assert total == 600_000 and sorted(r["n"] for r in counts.collect()) == [300_000, 300_000]
     assert made[0].count() == 3
+
+
+def test_sums_are_the_same_with_and_without_cells(spark, monkeypatch):
+    docs = spark.range(50).select(F.concat_ws(" ", F.lit("one two three two four"), F.col("id") % 7).alias("text"))
+    vocabulary = decontaminate.Vocabulary(decontaminate.item_parts([(1, "one two three four 5", None)]))
+    weights = np.array([1.0, 2.0, 3.0, 4.0, 5.0])
+    one = decontaminate.gram_sums(docs, vocabulary, weights, 5.0, "text")
+    monkeypatch.setattr(decontaminate, "GRAM_CELLS", 1)
+    two = decontaminate.gram_sums(docs, vocabulary, weights, 5.0, "text")
+    assert one[2] == two[2] == 50 and one[0].tolist() == two[0].tolist() and np.allclose(one[1], two[1])
