@@ -50,3 +50,33 @@ def test_fit_rows_are_bounded_and_repeatable(silver):
     assert some.exceptAll(M.bounded_rows(silver.repartition(7), 1000)).count() == 0
     assert M.bounded_rows(silver, n).count() == n
     assert some.where(F.col("record_id").isNull()).count() == 0
+
+
+def _both_ways(model, rows, monkeypatch):
+    """Predictions by cells and by all trees, of the same rows."""
+    assert model.cells is not None
+    by_cells = {r["record_id"]: r[M.PREDICTION_COLUMN] for r in M.score(model, rows).collect()}
+    with monkeypatch.context() as m:
+        m.setitem(model.__dict__, "cells", None)
+        by_trees = {r["record_id"]: r[M.PREDICTION_COLUMN] for r in M.score(model, rows).collect()}
+    return by_cells, by_trees
+
+
+@pytest.mark.parametrize(("target", "depth"), [("step_sales", 6), ("total_sales", 2)])
+def test_cells_give_the_prediction_of_all_trees(silver, monkeypatch, target, depth):
+    """Also for missing and unknown values and on the thresholds themselves."""
+    model, _ = M.train(silver, num_trees=4, max_depth=depth, target=target, groups=2)
+    numeric = {c: F.when(F.crc32("record_id") % 5 == k, F.lit(None) if k else F.lit(float("nan"))).otherwise(F.col(c).cast("double")) for k, c in enumerate(M.NUMERIC_FEATURES)}
+    odd = silver.withColumns(numeric).withColumn("outlet_type", F.when(F.crc32("record_id") % 7 == 0, "never seen").otherwise(F.col("outlet_type")))
+    by_cells, by_trees = _both_ways(model, silver.unionByName(odd.withColumn("record_id", F.concat(F.lit("odd"), "record_id"))), monkeypatch)
+    assert by_cells == by_trees and len(by_cells) == 2 * silver.count()
+    plan = M.score(model, silver)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "UDF" in plan
+    assert M.score(model, silver).columns == [*silver.columns, M.PREDICTION_COLUMN]
+
+
+def test_forests_of_many_cells_walk_through_their_trees(silver, monkeypatch):
+    monkeypatch.setattr(M, "MAX_CELLS", 1)
+    model, _ = M.train(silver, num_trees=2, max_depth=3, target="step_sales", groups=1)
+    assert model.cells is None
+    assert M.score(model, silver).where(F.col(M.PREDICTION_COLUMN).isNull()).count() == 0
