@@ -39,6 +39,11 @@ PART = 48
 GRAM_CELLS = 1 << 24
 #: Pairs of words that a task holds before it adds them up.
 GRAM_PAIRS = 1 << 20
+#: Logarithm of the number of slots that find a hash in the vocabulary.
+SLOTS_LOG2 = 16
+_SLOT_SHIFT = np.uint64(64 - SLOTS_LOG2)
+#: Candidates whose words are compared with their parts' at a time.
+CANDIDATES = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -82,16 +87,27 @@ def _hashes(text: str | None) -> list[int]:
 
 
 class Vocabulary:
-    """Sorted word hashes; words that it lacks get the index -1."""
+    """Sorted word hashes; words that it lacks get the index -1.
+
+    A hash's upper bits tell the few hashes that it may equal.
+    """
 
     def __init__(self, parts: list[Part]) -> None:
         self.hashes = np.unique(np.array([w for p in parts for w in p.words], dtype=np.uint64))
+        slots = (self.hashes >> _SLOT_SHIFT).astype(np.int64)
+        self._first = np.searchsorted(slots, np.arange((1 << SLOTS_LOG2) + 1)).astype(np.int32)
+        self._most = int(np.diff(self._first).max())
 
     def index(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        at = self._first[(hashes >> _SLOT_SHIFT).astype(np.int64)].astype(np.int64)
+        last = len(self.hashes) - 1
+        out = np.full(len(hashes), -1)
+        for k in range(self._most):
+            near = np.minimum(at + k, last)
+            np.copyto(out, near, where=self.hashes[near] == hashes)
+        return out
 
 
 class Lcs:
@@ -126,8 +142,13 @@ def document_frequencies(docs: DataFrame, vocabulary: Vocabulary, text: str) ->
                 found = tokens.words(chunk.data, chunk.bounds, tokens.ALNUM)
                 at = shared.value.index(found.hash)
                 doc = np.repeat(np.arange(chunk.rows), np.diff(found.ptr))
-                pairs = np.unique((doc * size + at)[at >= 0])
-                total[:size] += np.bincount(pairs % size, minlength=size)
+                doc, at = doc[at >= 0], at[at >= 0]
+                rows = max(1, GRAM_CELLS // max(1, size))
+                for first in range(0, chunk.rows, rows):
+                    low, high = np.searchsorted(doc, (first, first + rows))
+                    held = np.zeros((min(rows, chunk.rows - first), size), bool)
+                    held[doc[low:high] - first, at[low:high]] = True
+                    total[:size] += np.count_nonzero(held, axis=0)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["word", "n"])
 
@@ -152,7 +173,7 @@ class Passages:
         within = np.arange(self.step_ptr[-1]) - np.repeat(self.step_ptr[:-1], steps)
         self.step_row = np.repeat(np.arange(chunk.rows), steps)
         self.start = found.ptr[self.step_row] + within * STEP
-        at = vocabulary.index(found.hash)
+        self.at = at = vocabulary.index(found.hash)
         weight = np.where(at >= 0, weights[at] if len(weights) else 0.0, unknown).astype(np.float32)
         self._squares = np.add.reduceat(weight * weight, self.start) if len(self.start) else np.zeros(0, np.float32)
         self.word = np.flatnonzero(at >= 0)
@@ -306,6 +327,37 @@ def item_vectors(parts: list[Part], vocabulary: Vocabulary, weights: np.ndarray)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
+def _may_hold(passages: Passages, held: np.ndarray, least: np.ndarray, low: np.ndarray, high: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Which words low[i]:high[i] may have a common subsequence of least[k[i]] words with part k[i].
+
+    It has no more words than those of the passage that the part ``held`` (a row of the vocabulary for each part, and a
+    last column for all other words), each as often as either has it.
+    """
+    out = np.zeros(len(k), bool)
+    for first in range(0, len(k), CANDIDATES):
+        some = slice(first, first + CANDIDATES)
+        place = low[some, None] + np.arange(int((high[some] - low[some]).max()))
+        inside = place < high[some, None]
+        word = np.where(inside, passages.at[np.minimum(place, len(passages.at) - 1)], -1)
+        part = k[some]
+        rest = np.flatnonzero((held[part[:, None], word] > 0).sum(axis=1) >= least[part])
+        # Words that the passage repeats count as often as the part has them.
+        word, part = np.sort(word[rest], axis=1), part[rest]
+        start = np.concatenate((np.ones((len(rest), 1), bool), word[:, 1:] != word[:, :-1]), axis=1)
+        place = np.arange(word.shape[1])
+        nth = place - np.maximum.accumulate(np.where(start, place, 0), axis=1)
+        out[first + rest] = (held[part[:, None], word] > nth).sum(axis=1) >= least[part]
+    return out
+
+
+def _part_words(parts: list[Part], vocabulary: Vocabulary) -> np.ndarray:
+    """How often each part has each word of the vocabulary; the last column, of all other words, is 0."""
+    held = np.zeros((len(parts), len(vocabulary.hashes) + 1), np.uint8)
+    for k, part in enumerate(parts):
+        np.add.at(held[k], vocabulary.index(np.array(part.words, np.uint64)), 1)
+    return held
+
+
 def _search_block(docs: DataFrame, parts: list[Part], search: Search, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     vocabulary = Vocabulary(parts)
@@ -322,17 +374,24 @@ def _search_block(docs: DataFrame, parts: list[Part], search: Search, doc_id: st
         parts, vocabulary, weights, unknown, space, queries = shared.value
         whole = [Lcs(p.words) for p in parts]
         answers = [Lcs(p.answer) for p in parts]
+        held = _part_words(parts, vocabulary)
+        sizes = np.array([len(p.words) for p in parts])
+        # The least whole number of words that min_lcs lets pass.
+        counts = np.arange(PART + 1)
+        least = (counts / sizes[:, None] < search.min_lcs).sum(axis=1)
         for batch in batches:
             for chunk in tokens.chunks(batch.column("_text"), tokens.CHUNK_BYTES // 2):
                 passages = Passages(chunk, vocabulary, weights, unknown)
                 best: dict[tuple[int, int], tuple[float, float, float]] = {}
                 for span, steps, folded in passages.folded(space, search.min_cosine):
                     close = folded @ queries.T
-                    for at, k in np.argwhere(close >= search.min_cosine).tolist():
-                        step = int(steps[at])
-                        row = int(passages.step_row[step])
-                        low = max(int(passages.ptr[row]), int(passages.start[step]) - STEP)
-                        high = min(int(passages.ptr[row + 1]), int(passages.start[step]) + (span + 1) * STEP)
+                    at, part = np.nonzero(close >= search.min_cosine)
+                    step = steps[at]
+                    in_row = passages.step_row[step]
+                    lows = np.maximum(passages.ptr[in_row], passages.start[step] - STEP)
+                    highs = np.minimum(passages.ptr[in_row + 1], passages.start[step] + (span + 1) * STEP)
+                    may = np.flatnonzero(_may_hold(passages, held, least, lows, highs, part))
+                    for at, k, row, low, high in zip(*(x[may].tolist() for x in (at, part, in_row, lows, highs))):
                         words = passages.hash[low:high].tolist()
                         lcs = whole[k].with_(words) / len(parts[k].words)
                         if lcs < search.min_lcs:

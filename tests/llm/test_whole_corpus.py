@@ -53,3 +53,29 @@ def test_sums_are_the_same_with_and_without_cells(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "GRAM_CELLS", 1)
     two = decontaminate.gram_sums(docs, vocabulary, weights, 5.0, "text")
     assert one[2] == two[2] == 50 and one[0].tolist() == two[0].tolist() and np.allclose(one[1], two[1])
+
+
+def test_word_counts_spare_sequences_and_lose_no_passage():
+    """Clean windows that share common words with an item go without a sequence check; whatever reaches min_lcs gets one."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{k}" for k in range(60)])
+    items = [(k, " ".join(rng.choice(words, size)), None) for k, size in enumerate((1, 2, 9, 40, 48, 100))]
+    parts = decontaminate.item_parts(items)
+    vocabulary = decontaminate.Vocabulary(parts)
+    texts = [items[3][1], " ".join(rng.choice([*words, "x", "y"], 90)), "w1 w1 w1", "", " ".join(rng.choice(["x", "w3", "w4"], 70)), items[5][1] + " x"]
+    for part in parts:
+        held = rng.permutation(len(part.words))[: len(part.words) // 4]
+        texts.append(" ".join("x" if k in held else w for k, w in enumerate(items[part.item][1].split())))
+    raw = [t.encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, raw)])
+    chunk = tokens.Chunk(0, np.frombuffer(b"".join(raw), np.uint8), bounds)
+    passages = decontaminate.Passages(chunk, vocabulary, np.ones(len(vocabulary.hashes), np.float32), 1.0)
+    wanted = [int(np.searchsorted(vocabulary.hashes, h)) if h in vocabulary.hashes else -1 for h in passages.hash]
+    assert passages.at.tolist() == wanted
+    rows, k = (x.ravel() for x in np.meshgrid(np.flatnonzero(np.diff(passages.ptr)), np.arange(len(parts))))
+    low, high = passages.ptr[rows], passages.ptr[rows + 1]
+    least = np.array([-(-7 * len(p.words) // 10) for p in parts])
+    may = decontaminate._may_hold(passages, decontaminate._part_words(parts, vocabulary), least, low, high, k)
+    found = [decontaminate.Lcs(parts[p].words).with_(passages.hash[a:b].tolist()) >= least[p] for p, a, b in zip(k, low, high)]
+    assert any(found) and not (np.array(found) & ~may).any()
+    assert may.sum() < len(may) // 2
