@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import time
+from inspect import signature
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from shelfwise.operators.clean import clean_frame, with_event_date
 from shelfwise.plans import layers
 from shelfwise.plans.batch import frozen_weight_median, run_batch
 from shelfwise.plans.stream import StreamJob, bronze_path, publish_rows, rejects_path, run_bronze, run_landing, run_silver_gold
-from shelfwise.session import scratch_path
+from shelfwise.session import scratch_path, settings
 from shelfwise.sources.messages import encode, publish
 from shelfwise.streaming.bronze import Landing, read_landed
 from shelfwise.streaming.dedup import milliseconds
@@ -230,3 +231,29 @@ def test_a_failing_stage_is_raised(spark, bronze):
     job = StreamJob(spark, f"{base}/messages", base, trigger="500 milliseconds", model=Broken())
     with pytest.raises(Exception, match="no such model"):
         job.finish(timeout=120)
+
+
+def test_a_micro_batch_writes_few_files_however_wide_shuffles_are(spark, bronze):
+    base = scratch_path(spark, "wide")
+    publish_rows(bronze, f"{base}/messages")
+    with settings(spark, {"spark.sql.shuffle.partitions": "24"}):
+        run_bronze(spark, f"{base}/messages", base)
+        layout = run_silver_gold(spark, base)
+    local = layout.base.removeprefix("file://").removeprefix("file:")
+    for table in ("dim_item", "dim_outlet", "dim_date"):
+        assert len(glob.glob(f"{local}/gold/{table}/batch_id=0/part-*.parquet")) == 1
+        assert max(len(glob.glob(f"{slot}/part-*.parquet")) for slot in glob.glob(f"{local}/keys/{table}/slot=*")) == 1
+    assert read_table(spark, layout, "dim_item").count() == dim_item(with_event_date(clean_frame(bronze))).count()
+
+
+def test_a_job_has_no_time_limit_of_its_own_and_ends_when_it_is_stopped(spark, bronze):
+    assert signature(StreamJob.finish).parameters["timeout"].default is None
+    base = scratch_path(spark, "job-stopped")
+    publish_rows(bronze.limit(5), f"{base}/messages")
+    job = StreamJob(spark, f"{base}/messages", base, trigger="500 milliseconds")
+    job.queries[1].stop()
+    with pytest.raises(TimeoutError):
+        job.finish()
+    job = StreamJob(spark, f"{base}/messages", base, trigger="10 minutes")
+    with pytest.raises(TimeoutError):
+        job.finish(timeout=0.2)
