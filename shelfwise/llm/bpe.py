@@ -33,6 +33,8 @@ from shelfwise.llm.common import map_arrow
 
 #: Distinct words and distinct pieces whose ids a Python worker remembers; beyond that it forgets them.
 MEMO_PIECES = 300_000
+#: Pairs of tokens of which a worker remembers whether they can be neighbours; beyond that it forgets them.
+MEMO_PAIRS = 300_000
 #: Bytes of text after which a worker hands back what it has encoded.
 OUT_BYTES = 4 << 20
 _NEVER = 1 << 62
@@ -225,6 +227,8 @@ class Encoder:
             self._older, self._words = self._words, {}
         if len(self._pieces) > MEMO_PIECES:
             self._pieces.clear()
+        if len(self._fits) > MEMO_PAIRS:
+            self._fits.clear()
         if new := set(words).difference(self._words):
             self._learn(new)
         return self._text_ids(first) + b"".join(map(self._words.__getitem__, words))

@@ -254,3 +254,14 @@ def test_sanitisation_edge_cases(edge_docs):
     nine = next(r for r in rows if r["doc_id"] == 9)
     text = next(r["text"] for r in edge_docs.where("doc_id = 9").collect())
     assert [(s["kind"], text[s["start"] : s["end"]]) for s in nine["base"]] == [("email", "a.b@c.example.com"), ("ip", "10.0.0.255"), ("phone", "+49 (30) 1234567")]
+
+
+def test_a_worker_forgets_pairs_of_tokens(byte_vocabulary, pattern, library, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_PAIRS", 50)
+    encoder = bpe.Encoder(bpe.read_ranks(byte_vocabulary), pattern)
+    draw = random.Random(3)
+    for _ in range(40):
+        text = " ".join("".join(draw.choices("abcdefghé中", k=9)) for _ in range(5))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+        encoder.encode("")
+        assert len(encoder._fits) <= 50
