@@ -52,6 +52,16 @@ def test_fit_rows_are_bounded_and_repeatable(silver):
     assert some.where(F.col("record_id").isNull()).count() == 0
 
 
+def test_fits_read_every_training_row(spark, silver, monkeypatch):
+    """Also beyond 200,000 rows: the rows of a fit are those of the split."""
+    rows = silver.crossJoin(spark.range(50)).withColumn("record_id", F.concat_ws("-", "record_id", "id")).drop("id")
+    seen, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, data, *a: seen.append(data.count()) or fit(self, data, *a))
+    M.train(rows, num_trees=2, max_depth=2, target="step_sales", groups=2)
+    n = M.split(rows)[0].count()
+    assert n > 220_000 and seen == [n, n]
+
+
 def _both_ways(model, rows, monkeypatch):
     """Predictions by cells and by all trees, of the same rows."""
     assert model.cells is not None
