@@ -5,14 +5,18 @@ from __future__ import annotations
 import glob
 import time
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 
 from conftest import SF_SMALL
 from shelfwise.plans import registry
-from shelfwise.plans.stream import publish_rows
+from shelfwise.plans.stream import publish_rows, run_bronze
 from shelfwise.session import dropping_shuffles, scratch_path
 from shelfwise.sinks.layers import write_parquet
-from shelfwise.sinks.versions import exists
+from shelfwise.sinks.versions import drop_folder, exists
+from shelfwise.sources.messages import encode
+from shelfwise.streaming import bronze as bronze_module
+from shelfwise.streaming.bronze import to_bronze
 from test_stream_copies import _shuffle_files
 
 SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -60,3 +64,30 @@ def test_landed_messages_go(spark):
     layout = registry._streamed(spark, messages, base, 2)
     assert not exists(spark, messages)
     assert spark.read.parquet(layout.silver).count() == registry._bronze_rows(spark, SF_SMALL).count()
+
+
+def test_only_rejected_messages_are_carried_along(spark):
+    rows = registry._bronze_rows(spark, SF_SMALL).limit(20)
+    sent = encode(rows, extra=("record_id",)).unionByName(spark.createDataFrame([("k", "no json")], "key string, value string"))
+    landed = to_bronze(sent, dedup_keys=("record_id",), keep_message=True).collect()
+    assert len(landed) == 21
+    assert [(r["_message_key"], r["_message"]) for r in landed if r["_rejected"]] == [("k", "no json")]
+    assert {(r["_message_key"], r["_message"]) for r in landed if not r["_rejected"]} == {(None, None)}
+
+
+def test_queries_that_publish_copies_leave_no_messages(spark, monkeypatch):
+    """And messages that were published twice are taken in several micro-batches, each of which drops its shuffle files."""
+    dropped, limits = [], []
+    monkeypatch.setattr(registry, "drop_folder", lambda s, path: dropped.append(path) or drop_folder(s, path))
+    monkeypatch.setattr(registry, "run_bronze", lambda *a, **k: limits.append(k.get("max_files_per_trigger")) or run_bronze(*a, **k))
+    assert registry.q_stream_dedup_without_id(spark, SF_SMALL).count() == registry._bronze_rows(spark, SF_SMALL).drop("record_id", "ingest_ts").distinct().count()
+    assert len(dropped) == 1 and not exists(spark, dropped[0])
+    assert limits[0] >= 1
+
+
+def test_the_combining_pass_forgets_keys_and_loses_none(monkeypatch):
+    monkeypatch.setattr(bronze_module, "REMEMBERED", 10)
+    keys = [b"%02d" % (k % 30) for k in range(300)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[k : k + 7])], names=["_dedup_key"]) for k in range(0, 300, 7)]
+    passed = [key for b in bronze_module._first_copy_per_partition(iter(batches)) for key in b.column(0).to_pylist()]
+    assert set(passed) == set(keys) and len(passed) > 30
